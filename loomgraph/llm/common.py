@@ -23,8 +23,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, once for each Spark application."""
+    """Give executors this package, once for each Spark application; keep Arrow batches small, as texts can be long."""
     sc = spark.sparkContext
+    for key, value in (("maxRecordsPerBatch", "2000"), ("maxBytesPerBatch", str(8 << 20))):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(loomgraph.__file__)
