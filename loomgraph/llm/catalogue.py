@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import media, mixing, pieces, warc
+from loomgraph.llm import langid, media, mixing, pieces, quality, toxicity, warc
 from loomgraph.llm.common import read
 
 
@@ -14,6 +14,10 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -26,12 +30,20 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read(spark, sf_dir, "documents"), model_path())
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_mix, op4_warc, op5_pieces, op10_media)}
+    return {f.__name__: f for f in (op2_quality, op3_mix, op4_warc, op5_pieces, op7_toxicity, op8_langid, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
