@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import langid, media, mixing, pieces, quality, toxicity, warc
+from loomgraph.llm import ann, langid, media, mixing, pieces, quality, toxicity, warc
 from loomgraph.llm.common import read
 
 
@@ -38,12 +38,16 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality, op3_mix, op4_warc, op5_pieces, op7_toxicity, op8_langid, op10_media)}
+    return {f.__name__: f for f in (op2_quality, op3_mix, op4_warc, op5_pieces, op7_toxicity, op8_langid, op9_ann, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:

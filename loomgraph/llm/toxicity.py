@@ -28,9 +28,9 @@ from loomgraph.llm.common import fold, held_out, ship
 from loomgraph.llm.sampling import texts_of, thinned
 
 MAX_LABELLED, MAX_FEATURES = 16_000, 4096
-MIN_TEXTS, MIN_Z = 4, 4.0
+MIN_TEXTS, MIN_Z = 3, 3.0
 PREFIXES = (4, 5, 6, 7, 8)
-PENALTY, DECAY, STEPS, RATE = 1.0, 1e-4, 800, 0.05
+PENALTY, DECAY, STEPS, RATE = 1.0, 1e-5, 800, 0.1
 CACHE = 400_000
 TOKEN = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
