@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import ann, langid, media, mixing, pieces, quality, toxicity, warc
+from loomgraph.llm import ann, langid, media, mixing, ngram_join, pieces, quality, toxicity, warc
 from loomgraph.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read(spark, sf_dir, "documents"), model_path())
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components_of(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -47,8 +51,8 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality, op3_mix, op4_warc, op5_pieces, op7_toxicity, op8_langid, op9_ann, op10_media)}
+    return {f.__name__: f for f in (op2_quality, op3_mix, op4_warc, op5_pieces, op6_ngram_join, op7_toxicity, op8_langid, op9_ann, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix": mixing.ORACLE, "op4_warc": warc.ORACLE}
+    return {"op3_mix": mixing.ORACLE, "op4_warc": warc.ORACLE, "op6_ngram_join": ngram_join.ORACLE}
