@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import ann, langid, media, mixing, ngram_join, pieces, quality, toxicity, warc
+from loomgraph.llm import ann, langid, line_dedup, media, mixing, ngram_join, pieces, quality, toxicity, warc
 from loomgraph.llm.common import read
 
 
@@ -14,6 +14,10 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -51,7 +55,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality, op3_mix, op4_warc, op5_pieces, op6_ngram_join, op7_toxicity, op8_langid, op9_ann, op10_media)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_mix, op4_warc, op5_pieces, op6_ngram_join, op7_toxicity, op8_langid, op9_ann, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from loomgraph.llm.common import fold, held_out, ship
 from loomgraph.llm.sampling import texts_of, thinned
 
-MAX_LABELLED, MAX_FEATURES = 16_000, 4096
+MAX_LABELLED, MAX_FEATURES, MAX_PAIRS = 10_000, 1024, 2048
 MIN_TEXTS, MIN_Z = 3, 3.0
 PREFIXES = (4, 5, 6, 7, 8)
 PENALTY, DECAY, STEPS, RATE = 1.0, 1e-5, 800, 0.1
@@ -87,12 +87,6 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def log_odds_z(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
-    """Log odds ratio over its standard error, with half a count added."""
-    a, b, c, d = toxic + 0.5, n_toxic - toxic + 0.5, clean + 0.5, n_clean - clean + 0.5
-    return (math.log(a / b) - math.log(c / d)) / math.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-
-
 def swaps(sentence: str, model: Model, turn: int) -> tuple[list[int], list[int]]:
     """Feature indices of a sentence and of its counterfactual."""
     found = [w for w in TOKEN.findall(sentence.lower()) if w in _IDENTITY]
@@ -109,15 +103,15 @@ _IDENTITY = frozenset(IDENTITY)
 
 def fit_rows(x: np.ndarray, y: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias; d holds the differences of counterfactual pairs."""
-    w, v, m = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
+    w, v, m = (np.zeros(x.shape[1] + 1, np.float32) for _ in range(3))
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     for t in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) / len(y) + DECAY * np.append(w[:-1], 0)
+        g = x.T @ (p - y) / len(y) + DECAY * np.append(w[:-1], np.float32(0))
         if len(d):
             g[:-1] += PENALTY * 2 * (d.T @ (d @ w[:-1])) / len(d)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w = w - np.float32(RATE) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + np.float32(1e-8))
     return w[:-1], float(w[-1])
 
 
@@ -158,13 +152,10 @@ def fit(docs: DataFrame, labels: DataFrame, k: int = 5, r: int = 0) -> Model:
     rows = texts_of(docs, thinned(one, n, MAX_LABELLED, "doc_id"))
     seen = {row["y"]: row["count"] for row in rows.groupBy("y").count().collect()}
     n_toxic, n_clean = seen.get(1, 0), seen.get(0, 0)
-    # the exact score is recomputed below; this bound keeps only features with more than their share of toxic texts
-    table = count_features(rows).where(
-        (F.col("toxic") >= MIN_TEXTS) & (F.col("toxic") * n_clean > 1.5 * F.col("clean") * n_toxic)
-    )
-    z = table.toPandas()
-    z["z"] = [log_odds_z(a, b, n_toxic, n_clean) for a, b in zip(z["toxic"], z["clean"])]
-    kept = z[z["z"] >= MIN_Z].sort_values(["z", "f"], ascending=[False, True]).head(MAX_FEATURES)["f"].tolist()
+    odds = [(F.col("toxic") + 0.5, n_toxic - F.col("toxic") + 0.5), (F.col("clean") + 0.5, n_clean - F.col("clean") + 0.5)]
+    z = (F.log(odds[0][0] / odds[0][1]) - F.log(odds[1][0] / odds[1][1])) / F.sqrt(sum(1 / c for pair in odds for c in pair))
+    best = count_features(rows).where(F.col("toxic") >= MIN_TEXTS).withColumn("z", z).where(F.col("z") >= MIN_Z)
+    kept = [row["f"] for row in best.orderBy(F.col("z").desc(), "f").limit(MAX_FEATURES).select("f").collect()]
     index = {f: i for i, f in enumerate(dict.fromkeys([*kept, *IDENTITY]))}
     model = Model(index, np.zeros(len(index)), 0.0)
 
@@ -180,17 +171,17 @@ def fit(docs: DataFrame, labels: DataFrame, k: int = 5, r: int = 0) -> Model:
                 names=["v", "y", "at", "by"],
             )
 
-    got = rows.select("text", F.col("y").cast("int")).mapInArrow(run, "v array<int>, y int, at array<int>, by array<float>").toArrow().to_pydict()
-    x = np.zeros((len(got["y"]), len(index)), np.float32)
-    for i, v in enumerate(got["v"]):
-        x[i, v] = 1
-    d = np.zeros((len(got["y"]), len(index)), np.float32)
-    for i, (at, by_) in enumerate(zip(got["at"], got["by"])):
+    got = rows.select("text", F.col("y").cast("int")).mapInArrow(run, "v array<int>, y int, at array<int>, by array<float>").toArrow()
+    y = got.column("y").to_numpy().astype(np.float32)
+    x = np.zeros((len(y), len(index)), np.float32)
+    for i, v in enumerate(got.column("v")):
+        x[i, v.values.to_numpy()] = 1
+    pairs = [(at.values.to_numpy(), by_.values.to_numpy()) for at, by_ in zip(got.column("at"), got.column("by")) if len(at.values)][:MAX_PAIRS]
+    d = np.zeros((len(pairs), len(index)), np.float32)
+    for i, (at, by_) in enumerate(pairs):
         d[i, at] = by_
-    used = np.flatnonzero((x.any(axis=0)) | (d.any(axis=0)))
-    d = d[:, used]
-    d = d[d.any(axis=1)]
-    w, bias = fit_rows(x[:, used], np.array(got["y"], np.float64), d[:4096])
+    used = np.flatnonzero(x.any(axis=0) | d.any(axis=0))
+    w, bias = fit_rows(x[:, used], y, d[:, used])
     weights = np.zeros(len(index))
     weights[used] = w
     return Model(index, weights, bias)
