@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from loomgraph.llm import ann, langid, line_dedup, media, mixing, ngram_join, pieces, quality, toxicity, warc
@@ -55,7 +56,8 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_mix, op4_warc, op5_pieces, op6_ngram_join, op7_toxicity, op8_langid, op9_ann, op10_media)}
+    ops = (op1_line_dedup, op2_quality, op3_mix, op4_warc, op5_pieces, op6_ngram_join, op7_toxicity, op8_langid, op9_ann, op10_media)
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:

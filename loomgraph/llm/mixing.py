@@ -49,7 +49,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MA
         .withColumn("w_from", F.sum("w").over(everything) - F.coalesce(F.sum("w").over(below), F.lit(0)))
         .withColumn("level", (F.col("total") - F.col("cap_below")).cast("double") / F.col("w_from").cast("double"))
         .withColumn("free", F.col("level") * F.col("w") <= F.col("cap").cast("double"))
-        .withColumn("line", F.min(F.when(F.col("free"), F.col("level"))).over(everything))
+        .withColumn("line", F.max(F.when(F.col("free"), F.col("level"))).over(everything))  # the first free source in fill order
     )
     share = F.least(F.col("line") * F.col("w"), F.col("cap").cast("double"))
     return a.select("source", "source_size", F.coalesce(share, F.lit(0.0)).alias("target"))
@@ -66,14 +66,30 @@ def queue(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     within = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     inner = places.withColumn("inner", F.sum("size").over(within))
     return inner.join(per, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select(
-        "doc_id", "source", "size", "h", (F.col("start") + F.col("inner")).alias("place")
+        "doc_id", "tk", "source", "size", "h", (F.col("start") + F.col("inner")).alias("place")
     )
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, buckets: int = BUCKETS) -> DataFrame:
-    """docs (doc_id, source, text) -> doc_id, size, source_size, target, taken."""
+    """docs (doc_id, source, text) -> doc_id, size, source_size, target, taken, source."""
+    return _mix(docs, weights, most, buckets).drop("tk")
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, buckets: int = BUCKETS) -> DataFrame:
+    """docs, all columns, each row as often as the mix takes it; rows without words are not taken."""
+    key = ["doc_id", "source", "tk"]
+    times = _mix(docs, weights, most, buckets).where("taken > 0").groupBy(*key).agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("_n"))
+    times = times.select(*(F.col(c).alias(f"_{c}") for c in key), "_n")
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(F.col("_doc_id")) & keyed["source"].eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_tk"))
+    # rows that repeat id, source and text share one count
+    one = keyed.join(times, same).dropDuplicates(["doc_id", "source", "_key"])
+    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+
+
+def _mix(docs: DataFrame, weights: tuple[int, ...], most: int, buckets: int) -> DataFrame:
     sized = table(
-        docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h")),
+        docs.select("doc_id", "source", F.xxhash64("text").alias("tk"), n_words(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h")),
         "mix-sizes",
     )
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
@@ -112,7 +128,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPO
     fits = [F.when((F.lit(e) <= reach) & (F.col("first_out").isNull() | (k < F.col("first_out"))), 1).otherwise(0) for e, k in enumerate(key)]
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), F.col("size") * sum(fits[1:], fits[0])).otherwise(F.lit(0))
     return placed.crossJoin(F.broadcast(cut)).select(
-        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source"
+        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "tk"
     )
 
 
@@ -126,7 +142,7 @@ c AS (SELECT *, source_size * 3 AS cap, CAST(sum(source_size) OVER () AS BIGINT)
 f AS (SELECT *, CAST(coalesce(sum(cap) OVER b, 0) AS BIGINT) AS cap_below, CAST(w_all - coalesce(sum(w) OVER b, 0) AS BIGINT) AS w_from FROM c
       WINDOW b AS (ORDER BY CAST(cap AS DOUBLE) / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 v AS (SELECT *, CAST(total - cap_below AS DOUBLE) / CAST(w_from AS DOUBLE) AS level FROM f),
-n AS (SELECT *, min(CASE WHEN level * w <= CAST(cap AS DOUBLE) THEN level END) OVER () AS line FROM v),
+n AS (SELECT *, max(CASE WHEN level * w <= CAST(cap AS DOUBLE) THEN level END) OVER () AS line FROM v),
 t AS (SELECT source, source_size, coalesce(least(line * w, CAST(cap AS DOUBLE)), 0) AS target FROM n),
 q AS (SELECT d.*, t.source_size, t.target,
              CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY h, doc_id, d.size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS place

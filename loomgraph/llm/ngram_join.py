@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import ship, table
-from loomgraph.llm.linking import active, components, link  # noqa: F401
+from loomgraph.llm.common import WORD, ship, table
+from loomgraph.llm.linking import active, link
 
 SMALL, SPARE, GROWTH = 64, 4, 1.4
 BLOCK = 1 << 20
@@ -219,7 +219,7 @@ def tested(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
 
 def groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, text -> doc_id, tk, n_shingles, component_id, links (classes in the component)."""
+    """doc_id, text -> doc_id, tk, n_shingles, component_id, texts (classes in the component), comp (its key)."""
     rows = table(indexed(docs, n, percent), "ngram-rows")
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.min("tk").alias("tk"))
     live = table(active(rows.select(F.explode("keys").alias("key"), F.col("cls").alias("v"))).distinct(), "ngram-live")
@@ -228,9 +228,9 @@ def groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     labels = link(live, lambda pairs: tested(pairs, texts, n, percent))
     named = classes.join(labels, F.col("cls") == F.col("v"), "left").select("cls", F.coalesce("comp", "cls").alias("comp"), "first_id")
     first = named.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.count("*").alias("texts"))
-    of = named.join(first, "comp").select(F.col("cls").alias("c"), "component_id", "texts")
+    of = named.join(first, "comp").select(F.col("cls").alias("c"), "comp", "component_id", "texts")
     return rows.select("doc_id", "tk", "size", "cls").join(of, F.col("cls") == F.col("c"), "left").select(
-        "doc_id", "tk", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("texts", F.lit(1)).alias("texts"),
+        "doc_id", "tk", "comp", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("texts", F.lit(1)).alias("texts"),
     )
 
 
@@ -239,12 +239,14 @@ def components_of(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """docs, all columns, without documents whose component has a smaller id; of rows that repeat the first id, one stays."""
-    g = groups(docs, n, percent)
-    first = g.where("doc_id = component_id or component_id is null or n_shingles = 0").groupBy("doc_id", "component_id", F.col("n_shingles") == 0).agg(F.min("tk").alias("tk"))
-    first = first.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
-    kept = docs.withColumn("_key", F.xxhash64("text")).join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_tk")))
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*[kept[c] for c in docs.columns])
+    """docs, all columns: of each component the row of smallest doc_id (then text hash), and all rows without words."""
+    g = groups(docs, n, percent).where("comp is not null")
+    first = g.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "tk")).alias("f"))
+    first = first.select(F.col("f.doc_id").alias("_id"), F.col("f.tk").alias("_tk"))
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    keyed = docs.where(worded).withColumn("_key", F.xxhash64("text"))
+    kept = keyed.join(first, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_tk")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_key"]).drop("_key").union(docs.where(~worded))
 
 
 ORACLE = """
