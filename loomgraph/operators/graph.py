@@ -38,7 +38,7 @@ def last_per(rows: DataFrame, key: list[str]) -> DataFrame:
 
 def merge(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Rows of old whose key is not in new, and new; new has one row a key."""
-    return old.join(new.select(*key), key, "left_anti").unionByName(new)
+    return old.join(new.select(*key), key, "left_anti").select(*old.columns).unionByName(new)
 
 
 def with_both_ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -10,14 +10,14 @@ from loomgraph.functions.patterns import ENTITY_WORDS
 from loomgraph.operators.extract import best_per_key
 
 COUNTERS = {
-    "unknown_relations": F.col("unknown_relation"),
-    "unknown_subject_classes": F.col("unknown_subject"),
-    "questionable_subjects": F.col("questionable_subject"),
-    "unknown_object_classes": F.col("unknown_object"),
-    "questionable_objects": F.col("questionable_object"),
-    "low_confidence": F.col("low_confidence"),
-    "valid_triples": F.col("is_valid"),
-    "invalid_triples": ~F.col("is_valid"),
+    "unknown_relations": "unknown_relation",
+    "unknown_subject_classes": "unknown_subject",
+    "questionable_subjects": "questionable_subject",
+    "unknown_object_classes": "unknown_object",
+    "questionable_objects": "questionable_object",
+    "low_confidence": "low_confidence",
+    "valid_triples": "is_valid",
+    "invalid_triples": "not is_valid",
 }
 
 
@@ -57,7 +57,7 @@ def flagged(triples: DataFrame, classes: DataFrame, relations: DataFrame, least:
 
 def counters(flags: DataFrame) -> DataFrame:
     """One row of counts."""
-    return flags.agg(*(F.count_if(c).alias(name) for name, c in COUNTERS.items()))
+    return flags.agg(*(F.count_if(F.expr(c)).alias(name) for name, c in COUNTERS.items()))
 
 
 def unique_valid(flags: DataFrame) -> DataFrame:
