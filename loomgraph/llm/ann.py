@@ -26,7 +26,7 @@ from loomgraph.llm.common import discard, ship, table
 NEIGHBOURS, SAMPLE, OFFERS = 32, 16, 12
 GROUP, SEEDS = 96, 2
 ROUNDS, SETTLED = 12, 0.05
-BEAM, EXPAND, HOPS = 96, 12, 8
+BEAM, EXPAND, HOPS, ENTRIES = 96, 12, 8, 8
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -181,7 +181,8 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pack: DataFra
     """queries (qid, at: own node, h) -> qid, node: the nodes of each query's final beam."""
     spark = nodes.sparkSession
     links = graph.groupBy("id").agg(F.collect_list("q").alias("next"))
-    entries = pack.orderBy(F.xxhash64("id")).limit(2).select(F.col("id").alias("node"))
+    # large inner products are most often with long vectors
+    entries = nodes.orderBy(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).desc(), "id").limit(ENTRIES).select(F.col("id").alias("node"))
     start = queries.select("qid", F.col("at").alias("node")).union(queries.select("qid").crossJoin(F.broadcast(entries)))
     beam = table(_scored(start.distinct(), queries, pack).withColumn("done", F.lit(False)), "ann-beam")
     by_score = Window.partitionBy("qid").orderBy(F.col("sim").desc(), "node")
