@@ -6,14 +6,14 @@ often, and what proves linked becomes one group. Then every bucket that still ho
 first members tested against all members of other groups; those leaders have then met everyone and leave the bucket.
 The number of leaders grows eightfold a round until no bucket holds two groups. Members of one group are never
 tested against each other again, so a bucket of near copies costs rows in proportion to its size, and no link between
-different groups is lost.
+different groups is lost. A necessary condition on small sketches of the vertices is part of the joins that pair them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import discard, table
@@ -57,13 +57,22 @@ def active(members: DataFrame) -> DataFrame:
     return members.join(ends.select("key", "low"), "key")
 
 
-def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: DataFrame, close: Callable[[str, str], Column]) -> DataFrame:
     """live (key, v, low), as a table -> (v, comp) of all vertices that have a link.
 
-    verify takes distinct pairs (a, b) and returns those that are linked.
+    sketch has v and some columns; close("a_", "b_") is a condition on two vertices' sketches, with their columns so
+    prefixed, that every linked pair meets. It is a condition of the joins, so what fails it is never a row. verify takes
+    distinct pairs (a, b) and returns those that are linked.
     """
+    own = [c for c in sketch.columns if c != "v"]
+
+    def as_(prefix: str) -> DataFrame:
+        return sketch.select(F.col("v").alias(prefix[0]), *(F.col(c).alias(prefix + c) for c in own))
+
     met = live.where("v <> low").groupBy("v", "low").count()
-    first = met.groupBy("v").agg(F.max(F.struct("count", F.col("low"))).alias("x")).select(F.col("v").alias("a"), F.col("x.low").alias("b"))
+    met = met.select(F.col("v").alias("a"), F.col("low").alias("b"), "count").join(as_("a_"), "a")
+    met = met.join(as_("b_").withColumnRenamed("b", "_b"), (F.col("b") == F.col("_b")) & close("a_", "b_"))
+    first = met.groupBy("a").agg(F.max(F.struct("count", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
     edges = table(_distinct(verify(_distinct(first))), "links")
     labels = table(components(edges), "labels")
     leaders = LEADERS
@@ -71,14 +80,16 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame
     while True:
         named = rows.join(labels, "v", "left").select("key", "v", F.coalesce("comp", "v").alias("comp"))
         ends = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        mixed = table(named.join(ends.select("key"), "key"), "mixed")
+        mixed = table(named.join(ends.select("key"), "key").join(sketch, "v"), "mixed")
         if mixed.isEmpty():
             return labels
         rank = F.row_number().over(Window.partitionBy("key").orderBy("v"))
-        head = mixed.withColumn("rank", rank).where(F.col("rank") <= leaders).select("key", F.col("v").alias("a"), F.col("comp").alias("ca"))
-        pairs = mixed.join(head, "key").where("comp <> ca").select("a", F.col("v").alias("b"))
+        head = mixed.withColumn("rank", rank).where(F.col("rank") <= leaders)
+        head = head.select(F.col("key").alias("k"), F.col("v").alias("a"), F.col("comp").alias("ca"), *(F.col(c).alias(f"a_{c}") for c in own))
+        rest = mixed.select("key", F.col("v").alias("b"), F.col("comp").alias("cb"), *(F.col(c).alias(f"b_{c}") for c in own))
+        pairs = rest.join(head, (F.col("key") == F.col("k")) & (F.col("ca") != F.col("cb")) & close("a_", "b_")).select("a", "b")
         found = table(_distinct(verify(_distinct(pairs))), "links")
-        rows = mixed.join(head.select("key", F.col("a").alias("v")), ["key", "v"], "left_anti").select("key", "v")
+        rows = mixed.select("key", "v").join(head.select(F.col("k").alias("key"), F.col("a").alias("v")), ["key", "v"], "left_anti")
         if not found.isEmpty():
             stars = labels.select(F.col("comp").alias("a"), F.col("v").alias("b"))
             labels = table(components(stars.union(found)), "labels")

@@ -12,7 +12,7 @@ differ in at most D n-grams, so of enough segments some are equal or nearly equa
   the ones given up and one shared segment always stays.
 
 A set joins the band of its size and, if a partner can be larger than that band, the next band too. Buckets go to
-linking.link, which tests pairs exactly: 100 * intersection >= PERCENT * union on the n-gram sets of whole texts.
+linking.link; pairs whose parity sketches differ in more bits than linked sets could are left out, and the others are tested exactly: 100 * intersection >= PERCENT * union on the n-gram sets of whole texts.
 N-grams are compared by 64-bit hashes of their words.
 
 Defined results: words are runs of bytes other than space and 0x09-0x0D, A-Z in lower case; a text with fewer words
@@ -24,9 +24,11 @@ empty table; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import WORD, ship, table
@@ -35,6 +37,8 @@ from loomgraph.llm.linking import active, link
 SMALL, SPARE, GROWTH = 64, 4, 1.4
 BLOCK = 1 << 20
 BROADCAST_ROWS = 400_000
+SKETCH_BITS = 512
+SKETCH = [f"p{i}" for i in range(SKETCH_BITS // 64)]
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -140,6 +144,26 @@ def signatures(s: np.ndarray, percent: int, low: list[int]) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """SKETCH_BITS bits, each the parity of the n-grams hashed to it. The sketches of two sets differ in at most as many
+    bits as the sets differ in n-grams."""
+    odd = np.bincount((mix(s) >> np.uint64(7)).astype(np.int64) & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_link(percent: int) -> Callable[[str, str], Column]:
+    """Condition on two sketches that every linked pair meets: sizes in proportion, and no more differing bits than the
+    most n-grams in which linked sets of these sizes differ."""
+
+    def close(a: str, b: str) -> Column:
+        sizes = F.col(f"{a}size") + F.col(f"{b}size")
+        bits = sum(F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in SKETCH)
+        fits = F.least(f"{a}size", f"{b}size") * 100 >= F.greatest(f"{a}size", f"{b}size") * percent
+        return fits & (bits * (100 + percent) <= sizes * (100 - percent))
+
+    return close
+
+
 def chunks(texts: list[bytes], most: int = BLOCK):
     group, size = [], 0
     for t in texts:
@@ -157,16 +181,17 @@ def as_bytes(column) -> list[bytes]:
 
 
 def indexed(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, text -> doc_id, tk (text key), size, cls (null for an empty set), keys."""
+    """doc_id, text -> doc_id, tk (text key), size, cls (null for an empty set), keys, sketch columns."""
     ship(docs.sparkSession)
 
     def run(batches):
         low = bands(percent, 1 << 20)
         for b in batches:
-            sizes, cls, keys = [], [], []
+            sizes, cls, keys, sketch = [], [], [], []
             for group in chunks(as_bytes(b.column(2))):
                 for s in shingles(group, n):
                     sizes.append(len(s))
+                    sketch.append(parity(s))
                     if len(s):
                         while low[-2] <= len(s):
                             low[:] = bands(percent, 2 * len(s))
@@ -177,13 +202,14 @@ def indexed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         keys.append(np.empty(0, np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
+            bits = np.array(sketch, np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
-                names=["doc_id", "tk", "size", "cls", "keys"],
+                [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64())), *map(pa.array, bits.T)],
+                names=["doc_id", "tk", "size", "cls", "keys", *SKETCH],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tk"), "text")
-    return rows.mapInArrow(run, "doc_id long, tk long, size long, cls long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, tk long, size long, cls long, keys array<long>" + "".join(f", {c} long" for c in SKETCH))
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -223,9 +249,11 @@ def groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     rows = table(indexed(docs, n, percent), "ngram-rows")
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.min("tk").alias("tk"))
     live = table(active(rows.select(F.explode("keys").alias("key"), F.col("cls").alias("v"))).distinct(), "ngram-live")
-    wanted = live.select(F.col("v").alias("cls")).distinct().join(classes, "cls").select("cls", "tk")
+    wanted = table(live.select(F.col("v").alias("cls")).distinct().join(classes, "cls").select("cls", "tk"), "ngram-wanted")
     texts = table(fetch(docs, wanted), "ngram-texts")
-    labels = link(live, lambda pairs: tested(pairs, texts, n, percent))
+    sketch = rows.where("cls is not null").groupBy(F.col("cls").alias("v")).agg(*(F.first(c).alias(c) for c in ["size", *SKETCH]))
+    sketch = table(sketch.join(wanted.select(F.col("cls").alias("v")), "v", "left_semi"), "ngram-sketch")
+    labels = link(live, lambda pairs: tested(pairs, texts, n, percent), sketch, may_link(percent))
     named = classes.join(labels, F.col("cls") == F.col("v"), "left").select("cls", F.coalesce("comp", "cls").alias("comp"), "first_id")
     first = named.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.count("*").alias("texts"))
     of = named.join(first, "comp").select(F.col("cls").alias("c"), "comp", "component_id", "texts")

@@ -54,13 +54,16 @@ def brute_lines(texts):
 
 
 def test_simhash_lanes_agree_with_plain_counts(spark):
-    texts = ["one two three four", prose(1, 300), prose(2, 90), "x"]
-    d = docs(spark, texts)
-    lines = line_dedup.lines_of(d)
+    texts = ["one two three four", prose(1, 300), prose(2, 90), "x", "a of x", " ".join(f"word{i}" for i in range(5000))]
+    lines = line_dedup.lines_of(docs(spark, texts))
     fast = {r.v: r.sim for r in line_dedup.with_simhash(lines).collect()}
-    hs = F.transform(F.split("norm", " "), lambda w: F.xxhash64(w))
-    slow = {r.v: r.sim for r in lines.select(F.xxhash64("norm").alias("v"), line_dedup.simhash(hs).alias("sim")).collect()}
-    assert fast == slow and len(fast) == 4
+    hashes = lines.select(F.xxhash64("norm").alias("v"), "norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("w")).select("v", "norm", "w", F.xxhash64("w").alias("h")).collect()
+    plain = {}
+    for v in fast:
+        own = [r for r in hashes if r.v == v]
+        hs = [r.h for r in own if len(r.w) >= 4] or [r.h for r in own]
+        plain[v] = sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+    assert fast == plain and len(fast) == 6
 
 
 def test_line_dedup_against_brute_force(spark):
@@ -118,8 +121,10 @@ def test_components_and_links_against_brute_force(spark):
     verify = lambda pairs: pairs.where("a % 7 = b % 7")
     from loomgraph.llm.common import table
 
-    labels = {x.v: x.comp for x in linking.link(table(linking.active(members), "t"), verify).collect()}
-    assert all(labels[a] == labels[b] for a, b in truth) and len(set(labels.values())) == 7
+    sketch = members.select("v", F.expr("v % 7").alias("m")).distinct()
+    for close in (lambda a, b: F.lit(True), lambda a, b: F.col(f"{a}m") == F.col(f"{b}m")):
+        labels = {x.v: x.comp for x in linking.link(table(linking.active(members), "t"), verify, sketch, close).collect()}
+        assert all(labels[a] == labels[b] for a, b in truth) and len(set(labels.values())) == 7
 
 
 # ---- 2, 7, 8 -------------------------------------------------------------------------------------------------------
@@ -403,6 +408,8 @@ def test_every_linked_pair_shares_a_signature():
             b = np.unique(np.concatenate([a[r.permutation(len(a))[: len(a) - gone]], r.integers(0, 1 << 62, int(r.integers(0, d - gone + 1))).astype(np.uint64)]))
             both = len(np.intersect1d(a, b))
             if both and 100 * both >= 85 * (len(a) + len(b) - both):
+                bits = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in ngram_join.parity(a) ^ ngram_join.parity(b))
+                assert bits <= len(a) + len(b) - 2 * both
                 assert len(np.intersect1d(ngram_join.signatures(a, 85, low), ngram_join.signatures(b, 85, low))) > 0
 
 
