@@ -102,6 +102,31 @@ def test_line_dedup_edges(spark):
     assert [r.text for r in line_dedup.dedup_lines(same).collect()] == ["p q r", "p q r"]
 
 
+def test_line_dedup_recall_against_plain_edit_similarity(spark):
+    r = np.random.default_rng(11)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    texts, pairs = [], []
+    for n in (1, 2, 4, 8, 17, 40, 90):
+        for share in (0.0, 0.05, 0.1, 0.15):
+            for _ in range(6):
+                line = " ".join("".join(r.choice(letters, r.integers(3, 10))) for _ in range(n))
+                if len(line) < 5:
+                    line += "xyz"
+                other = list(line)
+                for i in r.choice([i for i, c in enumerate(line) if c != " "], max(1, int(len(line) * share)), replace=False):
+                    other[i] = r.choice([c for c in letters if c != line[i]])
+                pairs.append((len(texts), len(texts) + 1, n))
+                texts += [line, "".join(other)]
+    unspaced = "".join(r.choice(letters, 60))
+    pairs.append((len(texts), len(texts) + 1, 1))
+    texts += [unspaced, unspaced[:30] + "0" + unspaced[31:]]
+    _, edit = brute_lines(texts)
+    pairs = [(a, b) for a, b, n in pairs if n > 20 or 1 - edit(texts[a], texts[b]) / max(len(texts[a]), len(texts[b])) >= 0.8]
+    gone = {x.doc_id for x in line_dedup.dedup_lines(docs(spark, texts)).where("n_gone = 1").collect()}
+    assert len(pairs) > 150 and gone <= {b for _, b in pairs}
+    assert len(gone) >= 0.95 * len(pairs) and len(texts) - 1 in gone
+
+
 # ---- linking -------------------------------------------------------------------------------------------------------
 
 
