@@ -6,8 +6,9 @@ vectors; a query's order of nodes by inner product is unchanged. The graph start
 of nodes on the same side of random hyperplanes (groups above GROUP nodes are dealt out by a hash). Each NN-descent
 round joins a sample of a node's new and old neighbours, forward and reverse, with their vectors, scores pairs
 that involve a new one, and keeps the best NEIGHBOURS of every node, until few edges change. A query starts at its own
-node (an entry node if it has none in the graph) and keeps a beam of BEAM nodes; each round expands the best that are
-unexpanded by joining their neighbours. The beam is re-scored in double precision on the original vectors.
+node and at the longest ones and keeps a beam of BEAM nodes; each round expands the best that are unexpanded by joining
+their neighbours, along edges of both directions (a long vector may be wanted by many and be in no one's own list), until
+all of the beam is expanded. The beam is re-scored in double precision on the original vectors.
 
 Defined results: rows whose vector is null, zero, of another length than most, or holds null or non-finite components
 take no part, nor do rows without an id; rows that repeat id and vector are one candidate; ties go to the smaller
@@ -26,7 +27,7 @@ from loomgraph.llm.common import discard, ship, table
 NEIGHBOURS, SAMPLE, OFFERS = 32, 16, 12
 GROUP, SEEDS = 96, 2
 ROUNDS, SETTLED = 12, 0.05
-BEAM, EXPAND, HOPS, ENTRIES = 96, 12, 8, 8
+BEAM, EXPAND, ENTRIES = 96, 12, 8
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -177,19 +178,21 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Data
     return graph, pack, top or 1.0
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pack: DataFrame, k: int, hops: int = HOPS) -> DataFrame:
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pack: DataFrame, k: int) -> DataFrame:
     """queries (qid, at: own node, h) -> qid, node: the nodes of each query's final beam."""
     spark = nodes.sparkSession
-    links = graph.groupBy("id").agg(F.collect_list("q").alias("next"))
+    both = graph.select("id", F.col("q").alias("next")).union(graph.select(F.col("q").alias("id"), F.col("id").alias("next")))
+    links = table(both.distinct(), "ann-links")  # an edge a row, so that hubs need no long lists
     # large inner products are most often with long vectors
-    entries = nodes.orderBy(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).desc(), "id").limit(ENTRIES).select(F.col("id").alias("node"))
+    most = ENTRIES * max(1, nodes.count().bit_length())
+    entries = nodes.orderBy(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).desc(), "id").limit(most).select(F.col("id").alias("node"))
     start = queries.select("qid", F.col("at").alias("node")).union(queries.select("qid").crossJoin(F.broadcast(entries)))
     beam = table(_scored(start.distinct(), queries, pack).withColumn("done", F.lit(False)), "ann-beam")
     by_score = Window.partitionBy("qid").orderBy(F.col("sim").desc(), "node")
     todo = Window.partitionBy("qid", "done").orderBy(F.col("sim").desc(), "node")
-    for _ in range(hops):
+    while True:
         marked = beam.withColumn("go", ~F.col("done") & (F.row_number().over(todo) <= EXPAND))
-        step = marked.where("go").join(links, F.col("node") == F.col("id")).select("qid", F.explode("next").alias("node")).distinct()
+        step = marked.where("go").join(links, F.col("node") == F.col("id")).select("qid", F.col("next").alias("node")).distinct()
         found = _scored(step.join(beam, ["qid", "node"], "left_anti"), queries, pack).withColumn("done", F.lit(False))
         merged = marked.select("qid", "node", "sim", (F.col("done") | F.col("go")).alias("done")).union(found)
         new = table(merged.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= BEAM).drop("rank"), "ann-beam")

@@ -476,6 +476,19 @@ def test_nearest_recall_and_exact_scores(spark):
     assert len(few) == 2
 
 
+def test_nearest_recall_on_a_larger_table_of_varying_norms(spark):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(2500, 64)) * np.exp(0.2 * r.normal(size=(2500, 1)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for q in ann.nearest(df, 20, 50).collect():
+        got[q.query_id].add(q.vec_id)
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    recall = np.mean([len(got[q] & set(np.argsort(-s[q])[:20].tolist())) / 20 for q in range(0, 2500, 50)])
+    assert recall >= 0.85, recall
+
+
 # ---- 10 ------------------------------------------------------------------------------------------------------------
 
 
