@@ -2,11 +2,15 @@
 
 A bucket is a key that several vertices share; two vertices that are linked share at least one key. Instead of testing
 all pairs of a bucket, each vertex is first tested against the smallest member of its buckets that it meets most
-often, and what proves linked becomes one group. Then every bucket that still holds more than one group has its
-first members tested against all members of other groups; those leaders have then met everyone and leave the bucket.
-The number of leaders grows eightfold a round until no bucket holds two groups. Members of one group are never
-tested against each other again, so a bucket of near copies costs rows in proportion to its size, and no link between
-different groups is lost. A necessary condition on small sketches of the vertices is part of the joins that pair them.
+often, and what proves linked becomes one group. Then of every bucket that still holds more than one group the members
+of its smallest groups are tested against all members of other groups; those leaders have then met everyone and leave
+the bucket. The number of leaders grows eightfold a round until no bucket holds two groups. Members of one group are
+never tested against each other again, so a bucket of near copies costs tests in proportion to its size, and no link
+between different groups is lost. Members that are linked with nobody do meet all others of the bucket: a bucket of n
+such vertices costs n * n / 2 looks at two sketches (spread over tasks by the join, and no rows), which only keys that
+are shared by few unlinked vertices keep low. A necessary condition on the sketches is part of the joins.
+
+Tables of at most FEW rows are read as one partition, so that a round on them is one task instead of a shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +22,18 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm.common import discard, table
 
-LEADERS = 4
+LEADERS = 8
+FEW = 100_000
+
+
+def _kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """df as a table, in one partition if it has at most FEW rows, and its number of rows."""
+    out = table(df, name)
+    n = out.count()
+    if n <= FEW:
+        path, out = out.table_path, out.coalesce(1)
+        out.table_path = path
+    return out, n
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,25 +41,26 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps until the edge set is a set of stars and stays the same.
     """
-    e = table(_distinct(edges), "cc")
+    e, _ = _kept(_distinct(edges), "cc")
     before = None
     while True:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("w")).union(e.select(F.col("b").alias("u"), F.col("a").alias("w")))
+        both = both.coalesce(1) if e.rdd.getNumPartitions() == 1 else both
         least = both.groupBy("u").agg(F.min("w").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         large = both.join(least, F.col("u") == F.col("k")).where("w > u").select(F.col("w").alias("a"), F.col("m").alias("b"))
         large = _distinct(large)
         low = large.groupBy("b").agg(F.min("a").alias("m")).select(F.col("b").alias("k"), "m")
         star = large.join(low, F.col("b") == F.col("k"))
-        small = star.where("a <> m").select("a", F.col("m").alias("b")).union(star.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        new = table(_distinct(small), "cc")
+        # a row gives its own edge to the smallest and that of the star's centre
+        ends = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
+        new, _ = _kept(_distinct(star.select(ends.alias("x")).select("x.a", "x.b")), "cc")
         discard(e.sparkSession, e.table_path)
         e = new
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b") % 1000003)).first()
         if now == before:
             break
         before = now
-    out = e.select(F.col("b").alias("v"), F.col("a").alias("comp"))
-    return out.union(e.select(F.col("a").alias("v"), F.col("a").alias("comp"))).distinct()
+    return e.select(F.explode(F.array(F.struct(F.col("b").alias("v"), F.col("a").alias("comp")), F.struct(F.col("a").alias("v"), F.col("a").alias("comp")))).alias("x")).select("x.v", "x.comp").distinct()
 
 
 def _distinct(edges: DataFrame) -> DataFrame:
@@ -65,6 +81,7 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: Data
     distinct pairs (a, b) and returns those that are linked.
     """
     own = [c for c in sketch.columns if c != "v"]
+    sketch, _ = _kept(sketch.join(live.select("v").distinct(), "v", "left_semi"), "sketch")
 
     def as_(prefix: str) -> DataFrame:
         return sketch.select(F.col("v").alias(prefix[0]), *(F.col(c).alias(prefix + c) for c in own))
@@ -72,25 +89,32 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: Data
     met = live.where("v <> low").groupBy("v", "low").count()
     met = met.select(F.col("v").alias("a"), F.col("low").alias("b"), "count").join(as_("a_"), "a")
     met = met.join(as_("b_").withColumnRenamed("b", "_b"), (F.col("b") == F.col("_b")) & close("a_", "b_"))
-    first = met.groupBy("a").agg(F.max(F.struct("count", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    edges = table(_distinct(verify(_distinct(first))), "links")
-    labels = table(components(edges), "labels")
+    first, _ = _kept(met.groupBy("a").agg(F.max(F.struct("count", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "pairs")
+    edges, _ = _kept(verify(first), "links")
+    labels, _ = _kept(components(edges), "labels")
     leaders = LEADERS
-    rows = live.select("key", "v").distinct()
+    rows = live.select("key", "v")
     while True:
         named = rows.join(labels, "v", "left").select("key", "v", F.coalesce("comp", "v").alias("comp"))
         ends = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        mixed = table(named.join(ends.select("key"), "key").join(sketch, "v"), "mixed")
-        if mixed.isEmpty():
+        mixed, n = _kept(named.join(ends.select("key"), "key").join(sketch, "v"), "mixed")
+        if not n:
             return labels
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("v"))
-        head = mixed.withColumn("rank", rank).where(F.col("rank") <= leaders)
-        head = head.select(F.col("key").alias("k"), F.col("v").alias("a"), F.col("comp").alias("ca"), *(F.col(c).alias(f"a_{c}") for c in own))
+        members = mixed.groupBy("key", "comp").agg(F.count("*").alias("members"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("members", "v"))
+        head = mixed.join(members, ["key", "comp"]).withColumn("rank", rank).where(F.col("rank") <= leaders)
+        head, _ = _kept(head.select(F.col("key").alias("k"), F.col("v").alias("a"), F.col("comp").alias("ca"), *(F.col(c).alias(f"a_{c}") for c in own)), "heads")
         rest = mixed.select("key", F.col("v").alias("b"), F.col("comp").alias("cb"), *(F.col(c).alias(f"b_{c}") for c in own))
-        pairs = rest.join(head, (F.col("key") == F.col("k")) & (F.col("ca") != F.col("cb")) & close("a_", "b_")).select("a", "b")
-        found = table(_distinct(verify(_distinct(pairs))), "links")
+        pairs = rest.join(head, (F.col("key") == F.col("k")) & (F.col("ca") != F.col("cb")) & close("a_", "b_"))
+        # of two leaders of one bucket one order is enough
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
+        pairs, _ = _kept(pairs, "pairs")
+        found, n = _kept(verify(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
         rows = mixed.select("key", "v").join(head.select(F.col("k").alias("key"), F.col("a").alias("v")), ["key", "v"], "left_anti")
-        if not found.isEmpty():
-            stars = labels.select(F.col("comp").alias("a"), F.col("v").alias("b"))
-            labels = table(components(stars.union(found)), "labels")
+        if n:
+            # groups that found links join into new ones; single vertices are groups of their own name
+            merged, _ = _kept(components(found), "merged")
+            new = merged.select(F.col("v").alias("old"), F.col("comp").alias("new"))
+            renamed = labels.join(new, F.col("comp") == F.col("old"), "left").select("v", F.coalesce("new", "comp").alias("comp"))
+            labels, _ = _kept(renamed.union(merged.join(labels, "v", "left_anti")), "labels")
         leaders *= 8
