@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as T
@@ -82,16 +82,15 @@ def extract(pages: DataFrame, use_patterns: bool = True) -> DataFrame:
 def best_per_key(triples: DataFrame, keys: list[Column], valid: Column | None = None) -> DataFrame:
     """The row of highest confidence of each key, the earliest of equals; first_pos is the key's first position.
 
-    A top-1 window: its limit is applied before the shuffle as well.
+    One aggregate, so that tasks send one row a key; a null confidence counts as the lowest.
     """
     named = triples.select("*", *(k.alias(f"_k{i}") for i, k in enumerate(keys)))
     if valid is not None:
         named = named.where(valid)
     by = [f"_k{i}" for i in range(len(keys))]
-    top = Window.partitionBy(*by).orderBy(F.col("confidence").desc(), "pos")
-    first = named.groupBy(*by).agg(F.min("pos").alias("first_pos"))
-    best = named.withColumn("_n", F.row_number().over(top)).where("_n = 1").drop("_n")
-    return best.join(first, by).drop(*by)
+    place = F.struct(F.col("confidence").isNull().alias("unknown"), (-F.col("confidence")).alias("low"), F.col("pos").alias("pos"))
+    best = named.groupBy(*by).agg(F.min_by(F.struct(*triples.columns), place).alias("_best"), F.min("pos").alias("first_pos"))
+    return best.select("_best.*", "first_pos")
 
 
 def dedup_any_case(triples: DataFrame) -> DataFrame:

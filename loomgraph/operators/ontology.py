@@ -44,5 +44,16 @@ def grown(known: DataFrame, new: DataFrame) -> DataFrame:
     return known.select("name").union(new.select("name")).distinct()
 
 
+def growth_counts(classes: DataFrame, relations: DataFrame, all_classes: DataFrame, all_relations: DataFrame) -> DataFrame:
+    """One row: original, added and total numbers of classes and relations; original is total less added."""
+    one = None
+    for kind, known, all_ in (("classes", classes, all_classes), ("relations", relations, all_relations)):
+        new = added(known, all_).agg(F.count("*").alias(f"added_{kind}"))
+        total = all_.select("name").distinct().agg(F.count("*").alias(f"total_{kind}"))
+        row = new.crossJoin(total).select((F.col(f"total_{kind}") - F.col(f"added_{kind}")).alias(f"original_{kind}"), f"added_{kind}", f"total_{kind}")
+        one = row if one is None else one.crossJoin(row)  # one row each
+    return one
+
+
 def added(known: DataFrame, all_: DataFrame) -> DataFrame:
     return all_.select("name").subtract(known.select("name"))

@@ -88,6 +88,17 @@ def scrape_report(pages: DataFrame) -> DataFrame:
     return n.crossJoin(c).select("pages", "scraped", "texts", "codes", found.cast("long").alias("concepts"), F.round(score, 6).alias("score"))
 
 
+def scrape_rates(pages: DataFrame) -> DataFrame:
+    """One row: pages, successes, failures and the success rate in percent."""
+    n = pages.agg(F.count("*").alias("pages"), F.count_if(F.col("error").isNull()).alias("scraped"))
+    return n.select("*", (F.col("pages") - F.col("scraped")).alias("failed"), F.round(F.col("scraped") / F.greatest("pages", F.lit(1)) * 100, 6).alias("success_rate"))
+
+
+def most_common(rows: DataFrame, column: str, most: int = 5) -> DataFrame:
+    """The most frequent values of a validated node's or edge's column, ties by value."""
+    return rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "value").limit(most)
+
+
 def extraction_report(triples: DataFrame) -> DataFrame:
     """One row: share of relations longer than 2 (50), of entities longer than 1 (30) and of high band (20)."""
     t = triples.agg(

@@ -18,6 +18,9 @@ COUNTERS = {
     "low_confidence": "low_confidence",
     "valid_triples": "is_valid",
     "invalid_triples": "not is_valid",
+    "unknown_but_reasonable_subjects": "unknown_subject and not questionable_subject",
+    "unknown_but_reasonable_objects": "unknown_object and not questionable_object",
+    "validation_errors": "n_relation is null",
 }
 
 
@@ -56,8 +59,9 @@ def flagged(triples: DataFrame, classes: DataFrame, relations: DataFrame, least:
 
 
 def counters(flags: DataFrame) -> DataFrame:
-    """One row of counts."""
-    return flags.agg(*(F.count_if(F.expr(c)).alias(name) for name, c in COUNTERS.items()))
+    """One row of counts; a triple without a relation cannot be validated and counts as an error as well."""
+    kept = F.when(F.col("is_valid"), F.struct("n_subject", "n_relation", "n_object"))
+    return flags.agg(*(F.count_if(F.expr(c)).alias(name) for name, c in COUNTERS.items()), F.count_distinct(kept).alias("unique_valid_triples"))
 
 
 def unique_valid(flags: DataFrame) -> DataFrame:
@@ -75,5 +79,5 @@ def nodes(edges: DataFrame) -> DataFrame:
     return ends.groupBy("name").agg(F.lit("Entity").alias("type"), F.count("*").alias("source_count"))
 
 
-def edges(unique: DataFrame) -> DataFrame:
-    return unique.select(F.col("subject").alias("src"), F.col("object").alias("dst"), "relation", "confidence", "source_url", "source_type")
+def edges(unique: DataFrame, *more: str) -> DataFrame:
+    return unique.select(F.col("subject").alias("src"), F.col("object").alias("dst"), "relation", "confidence", "source_url", "source_type", *more)

@@ -281,6 +281,10 @@ def queries() -> dict:
         "ontology_added": lambda s, d: ontology.added(ontology.relations(s), ontology.grown(ontology.relations(s), ontology.new_relations(kg(s, d), ontology.relations(s)))),
         "validate_flags": lambda s, d: flags_of(s, d).select("pos", "n_subject", "n_relation", "n_object", "unknown_relation", "unknown_subject", "questionable_subject", "unknown_object", "questionable_object", "low_confidence", "is_valid", F.size("issues").cast("long").alias("n_issues")),
         "validation_counters": lambda s, d: validate.counters(flags_of(s, d)),
+        "growth_counts": lambda s, d: ontology.growth_counts(ontology.classes(s), ontology.relations(s), ontology.grown(ontology.classes(s), ontology.new_classes(kg(s, d), ontology.classes(s))), ontology.grown(ontology.relations(s), ontology.new_relations(kg(s, d), ontology.relations(s)))),
+        "top_edge_relations": lambda s, d: quality.most_common(validate.edges(validate.unique_valid(flags_of(s, d))), "relation"),
+        "top_node_types": lambda s, d: quality.most_common(validate.nodes(validate.unique_valid(flags_of(s, d))), "type"),
+        "validate_issues": lambda s, d: flags_of(s, d).select("pos", F.array_join("issues", "; ").alias("issues")),
         "validation_quality": lambda s, d: quality.validation_report(validate.counters(flags_of(s, d))),
         "nodes": lambda s, d: validate.nodes(validate.unique_valid(flags_of(s, d))),
         "edges": lambda s, d: validate.edges(validate.unique_valid(flags_of(s, d))).drop("source_type"),
@@ -302,6 +306,7 @@ def queries() -> dict:
         "page_links": lambda s, d: html.links(read(s, d, "pages"), starts="/", ends=""),
         "page_text": page_corpus,
         "page_triples": lambda s, d: extract.dedup_any_case(extract.extract(page_corpus(s, d))).select(*core[:4], "source_url", "source_type"),
+        "scrape_rates": lambda s, d: quality.scrape_rates(page_corpus(s, d)),
         "scrape_quality": lambda s, d: quality.scrape_report(page_corpus(s, d)),
         "extraction_quality": lambda s, d: quality.extraction_report(kg(s, d)),
         "pipeline_counts": lambda s, d: built(s, d).counts(),
@@ -323,7 +328,8 @@ def oracle_sql() -> dict[str, str]:
     counts = ", ".join(f"count(*) FILTER ({c}) AS {n}" for n, c in (
         ("unknown_relations", "unknown_relation"), ("unknown_subject_classes", "unknown_subject"), ("questionable_subjects", "questionable_subject"),
         ("unknown_object_classes", "unknown_object"), ("questionable_objects", "questionable_object"), ("low_confidence", "low_confidence"),
-        ("valid_triples", "is_valid"), ("invalid_triples", "NOT is_valid")))
+        ("valid_triples", "is_valid"), ("invalid_triples", "NOT is_valid"), ("unknown_but_reasonable_subjects", "unknown_subject AND NOT questionable_subject"),
+        ("unknown_but_reasonable_objects", "unknown_object AND NOT questionable_object"), ("validation_errors", "n_relation IS NULL")))
     return {
         "preprocess_documents": f"SELECT doc_id, length(c) AS n, md5(c) AS digest FROM (SELECT doc_id, {_sql_preprocess('text')} AS c FROM documents)",
         "extract_web": _sql_tokens("web_concepts", WEB),
@@ -349,7 +355,12 @@ def oracle_sql() -> dict[str, str]:
         "ontology_union": f"{kg}, {known(RELATIONS)} SELECT name FROM known UNION SELECT name FROM ({_FREQ.format(rows=rel_rows)})",
         "ontology_added": f"{kg}, {known(RELATIONS)} SELECT name FROM ({_FREQ.format(rows=rel_rows)}) EXCEPT SELECT name FROM known",
         "validate_flags": f"WITH {_FLAGS} SELECT pos, n_subject, n_relation, n_object, unknown_relation, unknown_subject, questionable_subject, unknown_object, questionable_object, low_confidence, is_valid, CAST(unknown_relation AS BIGINT) + CAST(questionable_subject AS BIGINT) + CAST(questionable_object AS BIGINT) + CAST(low_confidence AS BIGINT) AS n_issues FROM v",
-        "validation_counters": f"WITH {_FLAGS} SELECT {counts} FROM v",
+        "validation_counters": f"WITH {_FLAGS} SELECT {counts}, (SELECT count(*) FROM u) AS unique_valid_triples FROM v",
+        "growth_counts": f"{kg}, kc AS (SELECT DISTINCT name FROM {_values(CLASSES)}), kr AS (SELECT DISTINCT name FROM {_values(RELATIONS)}), c AS ({_FREQ.format(rows=two_ends).replace('FROM known', 'FROM kc')}), r AS ({_FREQ.format(rows=rel_rows).replace('FROM known', 'FROM kr')}) SELECT (SELECT count(*) FROM kc) AS original_classes, (SELECT count(*) FROM c) AS added_classes, (SELECT count(*) FROM kc) + (SELECT count(*) FROM c) AS total_classes, (SELECT count(*) FROM kr) AS original_relations, (SELECT count(*) FROM r) AS added_relations, (SELECT count(*) FROM kr) + (SELECT count(*) FROM r) AS total_relations",
+        "top_edge_relations": f"WITH {_FLAGS} SELECT relation AS value, count(*) AS n FROM u GROUP BY 1 ORDER BY n DESC, value LIMIT 5",
+        "top_node_types": f"WITH {_FLAGS} SELECT 'Entity' AS value, count(*) AS n FROM (SELECT subject FROM u UNION SELECT object FROM u) HAVING count(*) > 0",
+        "validate_issues": f"WITH {_FLAGS} SELECT pos, concat_ws('; ', CASE WHEN unknown_relation THEN 'Unknown relation: ' || n_relation END, CASE WHEN questionable_subject THEN 'Questionable subject: ' || n_subject END, CASE WHEN questionable_object THEN 'Questionable object: ' || n_object END, CASE WHEN low_confidence THEN 'Low confidence: ' || CAST(confidence AS VARCHAR) END) AS issues FROM v",
+        "flagship": f"WITH t AS (SELECT subject, relation, object FROM ({_sql_tokens('web_concepts', WEB)}) UNION ALL SELECT subject, relation, object FROM ({_sql_tokens('collection_usage', COLLECTIONS)})), k AS (SELECT DISTINCT lower(subject) AS s, lower(relation) AS r, lower(object) AS o FROM t) SELECT r AS rel_type, CAST(2 * count(*) FILTER (s <> o) + count(*) FILTER (s = o) AS BIGINT) AS n FROM k WHERE length(s) >= 2 AND length(r) >= 2 AND length(o) >= 2 GROUP BY 1",
         "validation_quality": f"WITH {_FLAGS} SELECT count(*) FILTER (is_valid) AS valid_triples, count(*) FILTER (NOT is_valid) AS invalid_triples, round(CAST(count(*) FILTER (is_valid) AS DOUBLE) / greatest(1, count(*)) * 100, 6) AS success_rate FROM v",
         "nodes": f"WITH {_FLAGS} SELECT name, 'Entity' AS type, count(*) AS source_count FROM (SELECT subject AS name FROM u UNION ALL SELECT object FROM u) GROUP BY name",
         "edges": f"WITH {_FLAGS} SELECT subject AS src, object AS dst, relation, confidence, source_url FROM u",

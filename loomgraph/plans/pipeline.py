@@ -54,7 +54,7 @@ def from_triples(classes: DataFrame, relations: DataFrame, pages: DataFrame, tri
     r = ontology.grown(relations, ontology.new_relations(growing, relations))
     flags = validate.flagged(triples, c, r)
     rows = validate.unique_valid(flags)
-    edges = validate.edges(rows).withColumn("pos", F.monotonically_increasing_id())
+    edges = validate.edges(rows, "first_pos").withColumnRenamed("first_pos", "pos")
     nodes = validate.nodes(rows).withColumn("pos", F.lit(0))
     kept = graph.last_per(graph.clean_nodes(nodes), ["name"])
     linked = graph.with_both_ends(graph.last_per(graph.clean_edges(edges), graph.EDGE_KEY), kept)

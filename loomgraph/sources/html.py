@@ -88,6 +88,11 @@ def scrape(pages: DataFrame, container: tuple[str, str | None] = ("div", "main")
     return pages.select(F.col("page_id").alias("page_pos"), "url", title.alias("title"), "html").mapInArrow(run, SCRAPED)
 
 
+def last_per_url(scraped: DataFrame) -> DataFrame:
+    """Of pages with one url the last stays, as a corpus keyed by url would have it; one aggregate."""
+    return scraped.groupBy("url").agg(F.max_by(F.struct(*scraped.columns), "page_pos").alias("last")).select("last.*")
+
+
 def links(pages: DataFrame, base: str = "", starts: str = "java_", ends: str = ".asp") -> DataFrame:
     """url, title, filename of wanted links; of equal urls the first stays."""
     found = F.arrays_zip(

@@ -1,7 +1,8 @@
 """Graph upserts on a stream: each micro-batch of triples is merged into Parquet tables by key.
 
-Two folders take turns, so that a batch never overwrites what it reads; a small pointer table names the current one,
-and a batch that was already merged is skipped.
+Every batch writes a folder of its own, so that it never overwrites what it reads; a small pointer table names the current
+one, and a batch that was already merged is skipped. A folder goes when two later batches have been merged, so a reader of
+the current one is not disturbed by the next.
 """
 
 from __future__ import annotations
@@ -34,4 +35,8 @@ class GraphSink:
         new = graph.last_per(graph.clean_edges(batch), graph.EDGE_KEY)
         merged = new if old is None else graph.merge(old, new, graph.EDGE_KEY)
         merged.write.mode("overwrite").parquet(f"{self.folder}/edges-{number}")
+        older = [] if old is None else [r[0] for r in self.spark.read.parquet(f"{self.folder}/pointer").where(f"batch < {last}").orderBy("batch").collect()[-1:]]
         self.spark.createDataFrame([(number,)], "batch long").write.mode("append").parquet(f"{self.folder}/pointer")
+        for batch_number in older:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/edges-{batch_number}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
