@@ -2,10 +2,12 @@
 
 A text is the set of its lower-cased words and of their prefixes. Features that labelled toxic texts have significantly
 more often than others are kept (at most MAX_FEATURES), and every identity term is a feature too. A logistic model is
-fitted with an added penalty: labelled sentences are rewritten with one identity term swapped for another (or, where a
-sentence has none, with a term put in front), and the squared change of the score is penalised, so that a neutral
-mention of a group moves no score. Fitting uses at most MAX_LABELLED rows (expected size of a stable draw), with feature
-counts made on the executors; every text is scored whole.
+fitted with an added penalty: every sentence of the labelled texts is rewritten once for each identity term that it holds,
+with that term swapped for another (or, where it holds none, with a term put in front), and the squared change of the score
+is penalised, so that a neutral mention of a group moves no score. The changes enter the fit as the sum of their outer
+products, made on the executors and at most features x features large, so no number of sentences is too many. Fitting
+uses at most MAX_LABELLED rows (expected size of a stable draw), with feature counts made on the executors; every text is
+scored whole.
 
 Defined results: null and empty texts have no feature and get the score of the constant alone; a null id is never held
 out and never trained on; several labels of one id count by their maximum; repeated rows are scored alike; with no
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from loomgraph.llm.common import fold, held_out, ship
 from loomgraph.llm.sampling import texts_of, thinned
 
-MAX_LABELLED, MAX_FEATURES, MAX_PAIRS = 10_000, 1024, 2048
+MAX_LABELLED, MAX_FEATURES = 10_000, 1024
 MIN_TEXTS, MIN_Z = 3, 3.0
 PREFIXES = (4, 5, 6, 7, 8)
 PENALTY, DECAY, STEPS, RATE = 1.0, 1e-5, 800, 0.1
@@ -75,46 +78,80 @@ class Model:
             got = self.cache[word] = tuple(self.index[f] for f in word_features(word) if f in self.index)
         return got
 
-    def vector(self, text: str) -> list[int]:
-        """Indices of the features that the text has."""
+    def of_words(self, found: set[str]) -> set[int]:
+        """Indices of the features that a set of words has."""
         out: set[int] = set()
-        for got in filter(None, map(self.hits, words(text))):
+        for got in filter(None, map(self.hits, found)):
             out.update(got)
-        return sorted(out)
+        return out
+
+    def vector(self, text: str) -> list[int]:
+        return sorted(self.of_words(words(text)))
 
     def score(self, text: str) -> float:
         z = self.bias + float(self.weights[self.vector(text)].sum())
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def swaps(sentence: str, model: Model, turn: int) -> tuple[list[int], list[int]]:
-    """Feature indices of a sentence and of its counterfactual."""
-    found = [w for w in TOKEN.findall(sentence.lower()) if w in _IDENTITY]
-    other = IDENTITY[turn % len(IDENTITY)]
-    if found:
-        changed = re.sub(rf"\b{re.escape(found[0])}\b", other, sentence, flags=re.I)
-    else:
-        changed = f"{other} {sentence}"
-    return model.vector(sentence), model.vector(changed)
+def counterfactuals(sentence: str) -> list[tuple[set[str], set[str]]]:
+    """Words of a sentence and of each of its rewritings. The new term depends on the sentence and the old term alone."""
+    own = words(sentence)
+    if not own:
+        return []
+    draw = zlib.crc32(sentence.encode("utf-8", "replace"))
+    out = []
+    for term in sorted(own & _PLACE.keys()):
+        other = IDENTITY[(_PLACE[term] + 1 + draw % (len(IDENTITY) - 1)) % len(IDENTITY)]
+        out.append((own, own - {term} | {other}))
+    return out or [(own, own | {IDENTITY[draw % len(IDENTITY)]})]
 
 
-_IDENTITY = frozenset(IDENTITY)
+_PLACE = {term: i for i, term in enumerate(IDENTITY)}
 
 
-def fit_rows(x: np.ndarray, y: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, float]:
+def fit_rows(x: np.ndarray, y: np.ndarray, d: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, float]:
     """Weights and bias; d holds the differences of counterfactual pairs."""
+    return fit_gram(x, y, d.T @ d, len(d), penalty)
+
+
+def fit_gram(x: np.ndarray, y: np.ndarray, gram: np.ndarray, pairs: int, penalty: float = PENALTY) -> tuple[np.ndarray, float]:
+    """Weights and bias of least mean log loss + penalty * mean squared change + decay; gram sums the pairs' d d'."""
     w, v, m = (np.zeros(x.shape[1] + 1, np.float32) for _ in range(3))
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    gram = (gram / max(1, pairs)).astype(np.float32)
     for t in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (p - y) / len(y) + DECAY * np.append(w[:-1], np.float32(0))
-        if len(d):
-            g[:-1] += PENALTY * 2 * (d.T @ (d @ w[:-1])) / len(d)
+        if pairs:
+            g[:-1] += penalty * 2 * (gram @ w[:-1])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - np.float32(RATE) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + np.float32(1e-8))
     return w[:-1], float(w[-1])
 
 
+def changes(texts: DataFrame, model: Model) -> DataFrame:
+    """text -> i, j, s: entries of the sum of d d' over all counterfactual pairs; their number at i = j = -1."""
+
+    def run(batches):
+        for b in batches:
+            kinds: Counter = Counter()
+            for text in b.column(0).to_pylist():
+                for sentence in SENTENCE.split(text or ""):
+                    for old, new in counterfactuals(sentence):
+                        a, c = model.of_words(old), model.of_words(new)
+                        kinds[tuple(sorted([(i, 1.0) for i in c - a] + [(i, -1.0) for i in a - c]))] += 1
+            total: Counter = Counter()
+            for d, n in kinds.items():
+                total[-1, -1] += n
+                for i, x in d:
+                    for j, y in d:
+                        total[i, j] += n * x * y
+            i, j = zip(*total) if total else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(list(total.values()), pa.float64())], names=["i", "j", "s"])
+
+    return texts.select("text").mapInArrow(run, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+
+
 def count_features(rows: DataFrame) -> DataFrame:
     """doc text, y -> f, toxic, clean: texts of each kind that have feature f, added up within tasks first."""
 
@@ -139,7 +176,7 @@ def count_features(rows: DataFrame) -> DataFrame:
     return out.groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, k: int = 5, r: int = 0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, k: int = 5, r: int = 0, penalty: float = PENALTY) -> Model:
     """Model from labelled rows whose fold is not r."""
     ship(docs.sparkSession)
     one = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
@@ -161,27 +198,20 @@ def fit(docs: DataFrame, labels: DataFrame, k: int = 5, r: int = 0) -> Model:
 
     def run(batches):
         for b in batches:
-            v, pairs = [], []
-            for text in b.column(0).to_pylist():
-                v.append(model.vector(text or ""))
-                parts = [s for s in SENTENCE.split(text or "") if s.strip()][:2]
-                pairs += [[sorted(set(a) ^ set(c)), [1.0 if i in c else -1.0 for i in sorted(set(a) ^ set(c))]] for a, c in (swaps(s, model, len(pairs) + i) for i, s in enumerate(parts))][:1] or [[[], []]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, pa.list_(pa.int32())), pa.array(b.column(1).to_pylist(), pa.int32()), pa.array([p[0] for p in pairs], pa.list_(pa.int32())), pa.array([p[1] for p in pairs], pa.list_(pa.float32()))],
-                names=["v", "y", "at", "by"],
-            )
+            v = [model.vector(text or "") for text in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.list_(pa.int32())), b.column(1)], names=["v", "y"])
 
-    got = rows.select("text", F.col("y").cast("int")).mapInArrow(run, "v array<int>, y int, at array<int>, by array<float>").toArrow()
+    got = rows.select("text", F.col("y").cast("int")).mapInArrow(run, "v array<int>, y int").toArrow()
     y = got.column("y").to_numpy().astype(np.float32)
     x = np.zeros((len(y), len(index)), np.float32)
     for i, v in enumerate(got.column("v")):
         x[i, v.values.to_numpy()] = 1
-    pairs = [(at.values.to_numpy(), by_.values.to_numpy()) for at, by_ in zip(got.column("at"), got.column("by")) if len(at.values)][:MAX_PAIRS]
-    d = np.zeros((len(pairs), len(index)), np.float32)
-    for i, (at, by_) in enumerate(pairs):
-        d[i, at] = by_
-    used = np.flatnonzero(x.any(axis=0) | d.any(axis=0))
-    w, bias = fit_rows(x[:, used], y, d[:, used])
+    sums = changes(rows, model).toArrow()
+    i, j, s = (sums.column(c).to_numpy() for c in ("i", "j", "s"))
+    gram = np.zeros((len(index), len(index)))
+    gram[i[i >= 0], j[i >= 0]] = s[i >= 0]
+    used = np.flatnonzero(x.any(axis=0) | (gram.diagonal() > 0))
+    w, bias = fit_gram(x[:, used], y, gram[np.ix_(used, used)], int(s[i < 0].sum()), penalty)
     weights = np.zeros(len(index))
     weights[used] = w
     return Model(index, weights, bias)
