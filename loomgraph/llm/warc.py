@@ -7,7 +7,8 @@ and cuts the record out. A failed attempt leaves a bundle that no index row name
 
 Defined results: a null html is an empty payload; of rows with equal payloads those with the smallest page_id are
 responses (more than one if that id repeats) and the others revisit it; null page_ids come after all others and, if a
-payload has no other id, are responses; an empty table gives an empty index; other columns are ignored.
+payload has no other id, are responses; a record identifier follows from page_id, url and payload, so only rows that are
+equal in all three share one; an empty table gives an empty index; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +33,9 @@ INDEX = "record_id string, page_id long, bundle string, frame int, start long, s
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, url string"
 
 
-def record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """Identifier of a page's record; pages that repeat an id differ in it unless url and payload are the same too."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}:{clean(url or str())}')}>"
 
 
 def b32_sha1(payload: bytes) -> str:
@@ -45,17 +47,19 @@ def clean(value: str) -> str:
     return " ".join(value.split())
 
 
-def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
+def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, first_url: str | None = None) -> bytes:
+    """refers_to and first_url name the response that a revisit repeats."""
+    digest = b32_sha1(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id)}",
-        f"WARC-Target-URI: {clean(url or '')}", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{b32_sha1(payload)}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id, url, digest)}",
+        f"WARC-Target-URI: {clean(url or '')}", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{digest}",
         f"WARC-Block-Digest: sha1:{b32_sha1(block)}", "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}", f"X-Page-ID: {'' if page_id is None else page_id}",
     ]
     if revisit:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page-ID: {refers_to}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to, first_url, digest)}", f"X-Refers-To-Page-ID: {refers_to}"]
     return "\r\n".join(head).encode("utf-8") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -132,10 +136,12 @@ class BundleReader:
 
 
 def roles(pages: DataFrame) -> DataFrame:
-    """page_id, url, html -> also first_id: the smallest page_id that has the same payload (null if none has an id)."""
+    """page_id, url, html -> also first_id, first_url: the smallest page_id that has the same payload (null if none has an
+    id), with the smallest url that goes with it."""
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), empty_if_null(F.col("html")).alias("html"))
     p = p.withColumn("k", F.sha2(F.col("html").cast("binary"), 256))
-    first = p.groupBy("k").agg(F.min("page_id").alias("first_id"))
+    named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", F.coalesce("url", F.lit("")).alias("url")))
+    first = p.groupBy("k").agg(F.min(named).alias("first")).select("k", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"))
     return p.join(first, "k").drop("k")
 
 
@@ -152,13 +158,14 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
         writer, name = None, f"{uuid.uuid4().hex}.warc.zst"
         for b in batches:
             rows = []
-            for page_id, url, html, first_id in zip(*(c.to_pylist() for c in b.columns)):
+            for page_id, url, html, first_id, first_url in zip(*(c.to_pylist() for c in b.columns)):
                 if writer is None:
                     store.create_dir(root, recursive=True)
                     writer = BundleWriter(store.open_output_stream(f"{root}/{name}", compression=None))
                 revisit = first_id is not None and page_id != first_id
-                at = writer.add(build_record(page_id, url, html.encode("utf-8"), first_id, revisit))
-                rows.append((record_id(page_id), page_id, name, *at))
+                payload = html.encode("utf-8")
+                at = writer.add(build_record(page_id, url, payload, first_id, revisit, first_url))
+                rows.append((record_id(page_id, url, b32_sha1(payload)), page_id, name, *at))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 6, (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()))],
                 names=["record_id", "page_id", "bundle", "frame", "start", "size"],
@@ -166,7 +173,7 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
         if writer is not None:
             writer.close()
 
-    index = table(roles(pages).select("page_id", "url", "html", "first_id").mapInArrow(run, INDEX), "warc-index")
+    index = table(roles(pages).select("page_id", "url", "html", "first_id", "first_url").mapInArrow(run, INDEX), "warc-index")
     index.folder = folder
     return index
 
