@@ -241,8 +241,7 @@ class Agenda:
         own += map(self.unit, written[short:])
         for k, theirs in enumerate(self.library.encode(new, num_threads=1)):
             if new[k] and own[k] != theirs:
-                own[k] = theirs
-                self.mismatches += 1
+                raise ValueError(f"the agenda gives {own[k]} for {new[k]!r}, the library {theirs}")
         for u, back in zip(new, self.library.decode(own, num_threads=1)):
             if u != back:
                 self.odd[u] = back
