@@ -84,6 +84,11 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of a finished query only once the driver has collected its plan as garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it again: lineage ends here, and lost executors cost nothing."""
     path = new_dir(df.sparkSession, name)
@@ -104,3 +109,12 @@ def held_out(doc_id: Column, k: int, r: int) -> Column:
 
 def empty_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """row: each row of docs as one struct, so that columns added beside it cannot clash with the user's."""
+    return docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row"))

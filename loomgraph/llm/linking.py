@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import discard, table
+from loomgraph.llm.common import discard, table, tidy
 
 LEADERS = 8
 FEW = 100_000
@@ -93,8 +93,11 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: Data
     edges, _ = _kept(verify(first), "links")
     labels, _ = _kept(components(edges), "labels")
     leaders = LEADERS
-    rows = live.select("key", "v")
+    rows, dead = live.select("key", "v"), [first, edges]
     while True:
+        for old in dead:  # what no later round reads
+            discard(live.sparkSession, old.table_path)
+        tidy(live.sparkSession)
         named = rows.join(labels, "v", "left").select("key", "v", F.coalesce("comp", "v").alias("comp"))
         ends = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
         mixed, n = _kept(named.join(ends.select("key"), "key").join(sketch, "v"), "mixed")
@@ -110,11 +113,15 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: Data
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
         pairs, _ = _kept(pairs, "pairs")
         found, n = _kept(verify(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
-        rows = mixed.select("key", "v").join(head.select(F.col("k").alias("key"), F.col("a").alias("v")), ["key", "v"], "left_anti")
+        dead = [pairs, found]
+        rows, _ = _kept(mixed.select("key", "v").join(head.select(F.col("k").alias("key"), F.col("a").alias("v")), ["key", "v"], "left_anti"), "bucket-rows")
+        dead += [mixed, head]
         if n:
             # groups that found links join into new ones; single vertices are groups of their own name
             merged, _ = _kept(components(found), "merged")
             new = merged.select(F.col("v").alias("old"), F.col("comp").alias("new"))
             renamed = labels.join(new, F.col("comp") == F.col("old"), "left").select("v", F.coalesce("new", "comp").alias("comp"))
+            before = labels
             labels, _ = _kept(renamed.union(merged.join(labels, "v", "left_anti")), "labels")
+            discard(live.sparkSession, before.table_path)
         leaders *= 8

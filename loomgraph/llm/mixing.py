@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import WORD, table
+from loomgraph.llm.common import WORD, packed, table
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -76,15 +76,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPO
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, buckets: int = BUCKETS) -> DataFrame:
-    """docs, all columns, each row as often as the mix takes it; rows without words are not taken."""
+    """docs, all columns (whatever their names), each row as often as the mix takes it; rows without words are not taken."""
     key = ["doc_id", "source", "tk"]
     times = _mix(docs, weights, most, buckets).where("taken > 0").groupBy(*key).agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("_n"))
-    times = times.select(*(F.col(c).alias(f"_{c}") for c in key), "_n")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(F.col("_doc_id")) & keyed["source"].eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_tk"))
+    keyed = packed(docs).withColumns({"id_of": F.col("row.doc_id"), "from_of": F.col("row.source"), "key_of": F.xxhash64("row.text")})
+    same = F.col("id_of").eqNullSafe(F.col("doc_id")) & F.col("from_of").eqNullSafe(F.col("source")) & (F.col("key_of") == F.col("tk"))
     # rows that repeat id, source and text share one count
-    one = keyed.join(times, same).dropDuplicates(["doc_id", "source", "_key"])
-    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    one = keyed.join(times, same).dropDuplicates(["id_of", "from_of", "key_of"])
+    return one.select("row", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("row.*")
 
 
 def _mix(docs: DataFrame, weights: tuple[int, ...], most: int, buckets: int) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import WORD, ship, table
+from loomgraph.llm.common import WORD, packed, ship, table
 from loomgraph.llm.linking import active, link
 
 SMALL, SPARE, GROWTH = 64, 4, 1.4
@@ -271,10 +271,9 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     g = groups(docs, n, percent).where("comp is not null")
     first = g.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "tk")).alias("f"))
     first = first.select(F.col("f.doc_id").alias("_id"), F.col("f.tk").alias("_tk"))
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
-    keyed = docs.where(worded).withColumn("_key", F.xxhash64("text"))
-    kept = keyed.join(first, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_tk")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).drop("_key").union(docs.where(~worded))
+    whole = packed(docs).withColumns({"id_of": F.col("row.doc_id"), "key_of": F.xxhash64("row.text"), "worded": F.coalesce(F.col("row.text"), F.lit("")).rlike(WORD)})
+    kept = whole.where("worded").join(first, F.col("id_of").eqNullSafe(F.col("_id")) & (F.col("key_of") == F.col("_tk")), "left_semi")
+    return kept.dropDuplicates(["id_of", "key_of"]).select("row.*").union(whole.where("not worded").select("row.*"))
 
 
 ORACLE = """

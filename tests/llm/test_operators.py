@@ -185,6 +185,57 @@ def test_counterfactual_penalty_lowers_identity_weights():
     assert abs(calm[1]) < 0.5 * abs(plain[1]) and calm[0] > 1
 
 
+def test_counterfactuals_cover_every_term():
+    pairs = toxicity.counterfactuals("Old women and deaf men, women")
+    assert all(old == {"old", "women", "and", "deaf", "men"} for old, _ in pairs)
+    gone = [old - new for old, new in pairs]
+    assert sorted(map(sorted, gone)) == [["deaf"], ["men"], ["old"], ["women"]] or all(len(g) <= 1 for g in gone) and len(pairs) == 4
+    [(old, new)] = toxicity.counterfactuals("plain words only")
+    assert len(new - old) == 1 and new - old <= set(toxicity.IDENTITY)
+    assert toxicity.counterfactuals(" -- 12 ") == []
+
+
+def test_a_term_of_the_tenth_sentence_is_calmed(spark):
+    r = np.random.default_rng(2)
+    texts, toxic = [], []
+    for i in range(300):
+        bad = i % 2
+        parts = [" ".join(r.choice(["tree", "river", "stone", "cloud", "house", "road"], 6)) for _ in range(12)]
+        if bad and r.random() < 0.8:
+            parts[int(r.integers(0, 12))] += " grobnik"
+        if r.random() < (0.9 if bad else 0.1):
+            parts[9] += " the muslims came"
+        texts.append(". ".join(parts))
+        toxic.append(bad)
+    labels = spark.createDataFrame([(i, t) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    calm, plain = (toxicity.fit(docs(spark, texts), labels, penalty=p) for p in (toxicity.PENALTY, 0.0))
+    weight = lambda m, f: m.weights[m.index[f]]
+    assert weight(plain, "muslims") > 0.3 and abs(weight(calm, "muslims")) < 0.3 * weight(plain, "muslims")
+    assert weight(calm, "grobnik") > 1
+
+
+def test_toxicity_fit_and_score_by_definition():
+    r = np.random.default_rng(4)
+    x = (r.random((60, 4)) < 0.4).astype(np.float32)
+    y = (x[:, 0] + x[:, 1] * r.random(60) > 0.7).astype(np.float32)
+    d = r.integers(-1, 2, (30, 4)).astype(np.float32)
+
+    def loss(w, bias):
+        z = x @ w + bias
+        return float(np.mean(np.logaddexp(0, z) - y * z) + toxicity.PENALTY * np.mean((d @ w) ** 2) + toxicity.DECAY * (w @ w) / 2)
+
+    w, bias = toxicity.fit_rows(x, y, d)
+    for k in range(5):
+        for step in (-0.02, 0.02):
+            other = w.copy()
+            if k < 4:
+                other[k] += step
+            assert loss(other, bias + step * (k == 4)) >= loss(w, bias) - 1e-5
+    model = toxicity.Model({"abc": 0, "abcd~": 1, "x": 2}, np.array([1.0, 2.0, -4.0]), 0.5)
+    assert abs(model.score("ABC abcdef, Abcdzz") - 1 / (1 + np.exp(-3.5))) < 1e-9  # abc, and the prefix abcd once
+    assert abs(model.score("x1x") - 1 / (1 + np.exp(3.5))) < 1e-9
+
+
 def brute_kn(counts_of, lang_text, history, char, order):
     """Interpolated Kneser-Ney by definition, from one language's counts of top-order grams."""
     grams = {n: Counter() for n in range(1, order + 1)}
