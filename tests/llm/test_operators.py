@@ -53,6 +53,25 @@ def brute_lines(texts):
     return norm, edit
 
 
+def test_simhash_agrees_with_plain_counts(spark):
+    r = np.random.default_rng(5)
+    arrays = [r.integers(-(2**63), 2**63 - 1, n).tolist() for n in (1, 2, 3, 62, 63, 64, 65, 16_383, 16_384, 40_000)]
+    rows = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "i int, h array<bigint>")
+    got = {x.i: x.s & (1 << 64) - 1 for x in rows.select("i", line_dedup.simhash(F.col("h")).alias("s")).collect()}
+    for i, a in enumerate(arrays):
+        bits = np.unpackbits(np.array(a, np.int64).view(np.uint64).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
+        assert got[i] == sum(1 << b for b in range(64) if 2 * bits[b] > len(a))
+
+
+def test_line_dedup_of_clashing_columns_and_long_lines(spark):
+    long = " ".join(f"word{i}" for i in range(30_000))
+    rows = [(0, long, 1, "a", 5), (1, long.replace("word77 ", "ward77 "), 2, "b", 6), (None, "x y z", 3, "c", 7), (None, "x y z", 4, "d", 8)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, gone int, _key string, `row.id` int")
+    out = sorted(line_dedup.dedup_documents(d).collect(), key=lambda r: r["gone"])
+    assert d.columns == out[0].__fields__ and [r["_key"] for r in out] == ["a", "b", "c", "d"]
+    assert [r.text for r in out] == [long, "", "x y z", "x y z"]
+
+
 def test_line_dedup_against_brute_force(spark):
     base = [prose(i, 60) for i in range(6)]
     near = base[0].replace("w1 ", "q1 ", 1)
