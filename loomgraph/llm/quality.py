@@ -2,11 +2,13 @@
 
 Trusted positives are labelled rows of quality 1; labelled rows of quality 0 are not used. Unlabelled rows are texts of
 the same folds. A text is described by shares of character classes, repetition, word and line statistics, each cut at
-quantiles into bins. The class prior is estimated from a first classifier of positives against unlabelled texts: the
-smallest ratio of unlabelled to positive mass above a threshold, with a confidence term (best bin estimation). The
-second classifier minimises the non-negative unbiased risk prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the
-logistic loss; where the second part is negative its gradient is reversed. Fitting uses at most MAX_POSITIVE and
-MAX_UNLABELLED rows (expected size of a stable draw), on the driver; every text is scored whole.
+quantiles into bins. The class prior is estimated from first classifiers of positives against unlabelled texts, one for each
+half of the rows, of which each scores the other half: the smallest ratio of unlabelled to positive mass above a threshold,
+with a confidence term (best bin estimation). Every unlabelled text of the folds counts in it, through a histogram of
+HISTOGRAM bins of the score that is made on the executors. The second classifier minimises the non-negative unbiased risk prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the
+logistic loss; where the second part is negative its gradient is reversed. Gradient
+steps use at most MAX_POSITIVE and MAX_UNLABELLED rows (expected size of a stable draw), on the driver; every text is scored
+whole.
 
 Defined results: null and empty texts are scored as a text without characters; a null id is never held out and never
 trained on; several labels of one id count by their maximum; repeated rows are scored alike; with no positives the
@@ -28,6 +30,7 @@ from loomgraph.llm.sampling import texts_of, thinned, ticket
 
 MAX_POSITIVE, MAX_UNLABELLED = 12_000, 24_000
 BINS, STEPS, RATE, DECAY = 12, 600, 0.05, 1e-4
+HISTOGRAM = 4096
 UPPER, LOWER, DIGIT, SPACE, END, SYMBOL, OTHER = range(7)
 N_FEATURES = 14
 
@@ -120,6 +123,23 @@ def class_prior(p: np.ndarray, u: np.ndarray, delta: float = 0.1) -> float:
     return float(np.clip(qu[best] / qp[best], 0.01, 0.99))
 
 
+def prior_of_counts(p: np.ndarray, u: np.ndarray, delta: float = 0.1) -> float:
+    """Best bin estimation from the numbers of positives and of unlabelled rows in each bin of the score, lowest first."""
+    if not p.sum() or not u.sum():
+        return 0.5
+    qp, qu = (np.cumsum(x[::-1])[::-1] / x.sum() for x in (p, u))
+    slack = np.sqrt(np.log(4 / delta) / 2) * (1 / np.sqrt(p.sum()) + 1 / np.sqrt(u.sum()))
+    at = np.flatnonzero(p)
+    best = at[np.argmin((qu[at] + slack) / qp[at])]
+    return float(np.clip(qu[best] / qp[best], 0.01, 0.99))
+
+
+def score_bin(score: np.ndarray) -> np.ndarray:
+    """Bins of scores in [0, 1]; even in the logit, so that both ends stay apart."""
+    z = np.log(np.maximum(score, 1e-12)) - np.log(np.maximum(1 - score, 1e-12))
+    return np.clip((z + 16) * (HISTOGRAM / 32), 0, HISTOGRAM - 1).astype(np.int64)
+
+
 def non_negative(p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
     """Weights of least non-negative risk."""
 
@@ -135,26 +155,45 @@ def non_negative(p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
     return _descend(gradient, p.shape[1])
 
 
-def fit_arrays(p: np.ndarray, u: np.ndarray) -> tuple[Model, float]:
+def cuts_of(p: np.ndarray, u: np.ndarray) -> list[np.ndarray]:
     both = np.vstack([p, u])
-    cuts = [np.unique(np.quantile(both[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(both.shape[1])]
-    P, U = binned(p, cuts).astype(np.float64), binned(u, cuts).astype(np.float64)
-    a, b = np.arange(len(P)) % 2 == 0, np.arange(len(U)) % 2 == 0
-    w = separate(P[a], U[b])
-    prior = class_prior(P[~a] @ w, U[~b] @ w) if len(P) > 3 and len(U) > 3 else 0.5
-    return Model(cuts, non_negative(P, U, prior)), prior
+    return [np.unique(np.quantile(both[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(both.shape[1])]
+
+
+def half(doc_id) -> "F.Column":
+    """Which half of the rows an id is in; independent of the draw of rows."""
+    return F.pmod(F.xxhash64(F.lit(29), doc_id), F.lit(2)).cast("int")
+
+
+def histogram(docs: DataFrame, judges: list[Model]) -> np.ndarray:
+    """Number of texts in each bin of the score that the other half's judge gives."""
+
+    def run(batches):
+        count = np.zeros(HISTOGRAM, np.int64)
+        for b in batches:
+            x = np.array([features(t or "") for t in b.column(0).to_pylist()], np.float32).reshape(-1, N_FEATURES)
+            side = b.column(1).to_numpy()
+            for h in (0, 1):
+                count += np.bincount(score_bin(judges[1 - h].score(x[side == h])), minlength=HISTOGRAM)
+        at = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(count[at], pa.int64())], names=["bin", "n"])
+
+    rows = docs.select("text", half("doc_id").alias("half")).mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(HISTOGRAM, np.int64)
+    out[rows.column("bin").to_numpy()] = rows.column("n").to_numpy()
+    return out
 
 
 def feature_rows(df: DataFrame) -> DataFrame:
-    """doc_id, text -> x: the features as floats."""
+    """doc_id, text -> x: the features as floats; half."""
     ship(df.sparkSession)
 
     def run(batches):
         for b in batches:
             x = [features(t or "") for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float32()))], names=["x"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float32())), b.column(1)], names=["x", "half"])
 
-    return df.select("text").mapInArrow(run, "x array<float>")
+    return df.select("text", half("doc_id").alias("half")).mapInArrow(run, "x array<float>, half int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, k: int = 3, r: int = 1) -> tuple[Model, float]:
@@ -164,11 +203,22 @@ def fit(docs: DataFrame, labels: DataFrame, k: int = 3, r: int = 1) -> tuple[Mod
     ids = thinned(one, one.count(), MAX_POSITIVE, "doc_id")
     rest = docs.where(fold(F.col("doc_id"), k) != r)
     free = rest.where(ticket("doc_id") < int((1 << 30) * min(1, MAX_UNLABELLED / max(1, rest.count()))))
-    take = lambda d: np.array([x.as_py() for x in feature_rows(d).toArrow().column("x")], np.float32).reshape(-1, N_FEATURES)
-    p, u = take(texts_of(docs, ids)), take(free)
+
+    def take(d: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        got = feature_rows(d).toArrow()
+        return np.array([x.as_py() for x in got.column("x")], np.float32).reshape(-1, N_FEATURES), got.column("half").to_numpy()
+
+    (p, p_half), (u, u_half) = take(texts_of(docs, ids)), take(free)
     if not len(p) or not len(u):
         return Model([np.empty(0)] * N_FEATURES, np.zeros(N_FEATURES + 1)), 0.5
-    return fit_arrays(p, u)
+    cuts = cuts_of(p, u)
+    P, U = binned(p, cuts).astype(np.float64), binned(u, cuts).astype(np.float64)
+    prior = 0.5
+    if all((p_half == h).any() and (u_half == h).any() for h in (0, 1)):
+        judges = [Model(cuts, separate(P[p_half == h], U[u_half == h])) for h in (0, 1)]
+        seen = sum(np.bincount(score_bin(judges[1 - h].score(p[p_half == h])), minlength=HISTOGRAM) for h in (0, 1))
+        prior = prior_of_counts(seen, histogram(rest, judges))
+    return Model(cuts, non_negative(P, U, prior)), prior
 
 
 def score(docs: DataFrame, model: Model, k: int = 3, r: int = 1) -> DataFrame:

@@ -181,6 +181,25 @@ def test_class_prior_of_a_known_mixture():
     assert abs(quality.class_prior(p, u) - 0.7) < 0.04
 
 
+def test_prior_of_counts_and_risk_by_definition():
+    r = np.random.default_rng(6)
+    p, u = r.normal(2, 1, 4000), np.concatenate([r.normal(2, 1, 2800), r.normal(-4, 1, 1200)])
+    bins = [np.bincount(quality.score_bin(1 / (1 + np.exp(-x))), minlength=quality.HISTOGRAM) for x in (p, u)]
+    assert abs(quality.prior_of_counts(*bins) - quality.class_prior(p, u)) < 0.01
+    P, U = (np.hstack([(r.random((n, 3)) < q).astype(float), np.ones((n, 1))]) for n, q in ((300, [0.8, 0.5, 0.3]), (500, [0.5, 0.5, 0.5])))
+
+    def risk(w):
+        plus = np.logaddexp(0, -P @ w).mean()
+        minus = np.logaddexp(0, U @ w).mean() - 0.4 * np.logaddexp(0, P @ w).mean()
+        return 0.4 * plus + max(0.0, minus) + quality.DECAY * (w @ w) / 2
+
+    w = quality.non_negative(P, U, 0.4)
+    assert all(risk(w + step) >= risk(w) - 1e-4 for step in np.vstack([np.eye(4), -np.eye(4)]) * 0.05)
+    text = "Ab, 12 cd\ncd cd!"
+    x = quality.features(text)
+    assert np.allclose(x[[0, 1, 2, 3]], [np.log1p(5), 1 / 16, 7 / 16, 2 / 16]) and abs(x[7] - 4 / 5) < 1e-6 and abs(x[8] - 1 / 5) < 1e-6
+
+
 def test_toxicity_on_held_out_rows(spark):
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(d, labels)
