@@ -567,6 +567,25 @@ def test_nearest_recall_on_a_larger_table_of_varying_norms(spark):
 # ---- 10 ------------------------------------------------------------------------------------------------------------
 
 
+def test_a_short_beam_is_filled_up_and_repeated_ids_count_once(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    x = r.standard_normal((60, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    d = spark.createDataFrame([*rows, (40, [9.0] * 6), (7, None)], "vec_id long, embedding array<double>")
+    x[40] = min(x[40].tolist(), [9.0] * 6)
+    search = ann.search
+    for cut in (False, True):
+        if cut:
+            monkeypatch.setattr(ann, "search", lambda *a: search(*a).where("qid <> 20").union(search(*a).where("qid = 20").limit(3)))
+        got = {}
+        for row in ann.nearest(d, k=10).collect():
+            got.setdefault(row.query_id, {})[row["rank"]] = row.vec_id
+        for q in (0, 20, 40):
+            order = sorted((i for i in range(60) if i != q), key=lambda i: (-float(np.dot(x[i], x[q])), i))[:10]
+            assert sorted(got[q]) == list(range(1, 11))
+            assert q != 20 or not cut or [got[q][k] for k in range(1, 11)] == order
+
+
 def test_media_round_trip(spark):
     texts = [None, "", "a" * 192, "é" * 100, prose(3, 9000), prose(3, 9000)]
     got = {r.doc_id: r for r in media.digest(docs(spark, texts)).collect()}
