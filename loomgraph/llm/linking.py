@@ -79,7 +79,7 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: Data
     sketch has v and some columns; close("a_", "b_") is a condition on two vertices' sketches, with their columns so
     prefixed, that every linked pair meets. It is a condition of the joins, so what fails it is never a row. verify takes
     distinct pairs (a, b) and returns those that are linked. alike, if given, is a further condition of the same form, which
-    holds from the second round of leaders on: it may leave out links, in buckets of more than LEADERS unlinked vertices.
+    holds once each vertex has met its pivot: it may leave out links.
     """
     own = [c for c in sketch.columns if c != "v"]
     sketch, _ = _kept(sketch.join(live.select("v").distinct(), "v", "left_semi"), "sketch")
@@ -91,6 +91,7 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: Data
     met = met.select(F.col("v").alias("a"), F.col("low").alias("b"), "count").join(as_("a_"), "a")
     met = met.join(as_("b_").withColumnRenamed("b", "_b"), (F.col("b") == F.col("_b")) & close("a_", "b_"))
     first, _ = _kept(met.groupBy("a").agg(F.max(F.struct("count", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "pairs")
+    tidy(live.sparkSession)
     edges, _ = _kept(verify(first), "links")
     labels, _ = _kept(components(edges), "labels")
     leaders = LEADERS
@@ -109,7 +110,7 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: Data
         head = mixed.join(members, ["key", "comp"]).withColumn("rank", rank).where(F.col("rank") <= leaders)
         head, _ = _kept(head.select(F.col("key").alias("k"), F.col("v").alias("a"), F.col("comp").alias("ca"), *(F.col(c).alias(f"a_{c}") for c in own)), "heads")
         rest = mixed.select("key", F.col("v").alias("b"), F.col("comp").alias("cb"), *(F.col(c).alias(f"b_{c}") for c in own))
-        fits = close("a_", "b_") & alike("a_", "b_") if alike and leaders > LEADERS else close("a_", "b_")
+        fits = close("a_", "b_") & alike("a_", "b_") if alike else close("a_", "b_")
         pairs = rest.join(head, (F.col("key") == F.col("k")) & (F.col("ca") != F.col("cb")) & fits)
         # of two leaders of one bucket one order is enough
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
