@@ -110,7 +110,7 @@ def link(live: DataFrame, verify: Callable[[DataFrame], DataFrame], sketch: Data
         head = mixed.join(members, ["key", "comp"]).withColumn("rank", rank).where(F.col("rank") <= leaders)
         head, _ = _kept(head.select(F.col("key").alias("k"), F.col("v").alias("a"), F.col("comp").alias("ca"), *(F.col(c).alias(f"a_{c}") for c in own)), "heads")
         rest = mixed.select("key", F.col("v").alias("b"), F.col("comp").alias("cb"), *(F.col(c).alias(f"b_{c}") for c in own))
-        fits = close("a_", "b_") & alike("a_", "b_") if alike else close("a_", "b_")
+        fits = alike("a_", "b_") & close("a_", "b_") if alike else close("a_", "b_")
         pairs = rest.join(head, (F.col("key") == F.col("k")) & (F.col("ca") != F.col("cb")) & fits)
         # of two leaders of one bucket one order is enough
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
