@@ -38,6 +38,22 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def number(c: Column) -> Column:
+    """A double as Python and DuckDB write it: the fewest digits that name it, and an exponent below 1e-4 and from 1e16 on."""
+    # Java 17 gives some numbers a digit too many, so the digits are those of the library that Spark writes JSON with
+    java = F.reflect(F.lit("com.fasterxml.jackson.core.io.NumberOutput"), F.lit("toString"), F.coalesce(c, F.lit(0.0)), F.lit(True))
+    sign, exp = F.regexp_extract(java, "^-?", 0), F.regexp_extract(java, r"E(-?\d+)", 1).cast("int")
+    digits = F.rtrim(F.regexp_replace(java, r"E.*|[-.]", ""), F.lit("0"))
+    tail = F.substring(digits, F.lit(2), F.lit(17))
+    whole = F.concat(F.substring(F.rpad(digits, F.lit(17), "0"), F.lit(1), exp + 1), F.lit("."), F.when(F.length(digits) > exp + 1, F.substring(digits, exp + 2, F.lit(17))).otherwise("0"))
+    one = F.format_string("%.0e", c)  # Java never gives one digit alone
+    return (
+        F.when(c.isNull(), None).when(F.isnan(c), "nan").when(F.abs(c) == float("inf"), F.concat(sign, F.lit("inf"))).when(~java.contains("E"), java)
+        .when(exp == -4, F.concat(sign, F.lit("0.000"), digits)).when((exp >= 7) & (exp < 16), F.concat(sign, whole))
+        .when(one.cast("double") == c, one).otherwise(F.concat(sign, F.substring(digits, 1, 1), F.lit("."), tail, F.format_string("e%+03d", exp)))
+    )
+
+
 def lookup(names: dict[str, str], key: Column) -> Column:
     return F.create_map(*map(F.lit, chain.from_iterable(names.items())))[key]
 

@@ -49,10 +49,10 @@ def flagged(triples: DataFrame, classes: DataFrame, relations: DataFrame, least:
         (missing("o_known") & ~reasonable(F.col("n_object"))).alias("questionable_object"),
         (F.col("n_confidence") < least).alias("low_confidence"),
     )
-    say = lambda flag, prefix, c: F.when(F.col(flag), F.concat(F.lit(prefix), F.col(c).cast("string")))
+    say = lambda flag, prefix, c: F.when(F.col(flag), F.concat(F.lit(prefix), c))
     issues = F.array_compact(F.array(
         say("unknown_relation", "Unknown relation: ", "n_relation"), say("questionable_subject", "Questionable subject: ", "n_subject"),
-        say("questionable_object", "Questionable object: ", "n_object"), say("low_confidence", "Low confidence: ", "n_confidence"),
+        say("questionable_object", "Questionable object: ", "n_object"), say("low_confidence", "Low confidence: ", T.number(F.col("n_confidence"))),
     ))
     critical = F.col("unknown_relation") | F.col("questionable_subject") | F.col("questionable_object")
     return t.withColumn("issues", issues).withColumn("is_valid", ~critical)

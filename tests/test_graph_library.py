@@ -1,5 +1,6 @@
 """Golden snippets, names, dedup order, upserts and invariants."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,16 @@ def test_linearised_model_output(spark):
     assert [(t.subject, t.relation, t.object) for t in got] == [("Dog", "instanceof", "Animal")]
 
 
+def test_issues_write_confidence_as_python_does(spark):
+    r = np.random.default_rng(3)
+    least = [0.0, -0.0, 1.4999999999998348e-4, 9.99e-5, 1e-5, 1e-4, 0.001, 5e-324, 2e-323, 1.25e-10, -1e7, -12345678.5, -1.5e15, -1e16, -2e23, float("-inf"), *r.random(200) * 0.3, *10 ** r.uniform(-12, -1, 200), *-(10 ** r.uniform(-5, 20, 200))]
+    rows = [("Dog", "uses", "Dog", None, "u", "t", -1)] + [("Dog", "uses", "Dog", float(x), "u", "t", i) for i, x in enumerate(least)]
+    t = spark.createDataFrame(rows, "subject string, relation string, object string, confidence double, source_url string, source_type string, pos long")
+    names = [spark.createDataFrame([(x,)], "name string") for x in ("Dog", "uses")]
+    got = {x.pos: x.issues for x in validate.flagged(t, *names).select("pos", "issues").collect()}
+    assert got == {x[-1]: [f"Low confidence: {0.0 if x[3] is None else x[3]}"] for x in rows}
+
+
 def test_merge_is_idempotent_and_last_wins(spark):
     e = spark.createDataFrame([("a", "b", "x y", 0.1, "u", "t", 1), ("a", "b", "x-y", 0.2, "u", "t", 2), ("a", "a", "x", 0.2, "u", "t", 3), ("", "b", "x", 0.2, "u", "t", 4)],
                               "src string, dst string, relation string, confidence double, source_url string, source_type string, pos long")
