@@ -132,6 +132,26 @@ def test_line_dedup_recall_against_plain_edit_similarity(spark):
     assert len(gone) >= 0.95 * len(pairs) and len(texts) - 1 in gone
 
 
+def test_line_keys_follow_from_the_line_alone(spark):
+    r = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+
+    def words(n):
+        return " ".join("".join(r.choice(letters, r.integers(3, 10))) for _ in range(n))
+
+    pairs = []
+    for n in (8, 17, 40, 90):
+        for _ in range(40):
+            line = list(words(n))
+            other = list(line)
+            for i in r.choice([i for i, c in enumerate(line) if c != " "], int(len(line) * 0.12), replace=False):
+                other[i] = r.choice([c for c in letters if c != line[i]])
+            pairs.append(("".join(line), "".join(other)))
+    a, b = (line_dedup.line_keys(F.col(c)) for c in "ab")
+    shared = spark.createDataFrame(pairs, "a string, b string").where(F.arrays_overlap(a, b)).count()
+    assert shared >= 0.95 * len(pairs)  # in a table of any size
+
+
 # ---- linking -------------------------------------------------------------------------------------------------------
 
 
