@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import os
 import re
 import wave
 import zlib
@@ -13,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.llm import ann, langid, line_dedup, linking, media, mixing, ngram_join, pieces, quality, toxicity, warc
+from loomgraph.llm.common import shared_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, v long"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -152,6 +154,18 @@ def test_line_keys_follow_from_the_line_alone(spark):
     assert shared >= 0.95 * len(pairs)  # in a table of any size
 
 
+def test_line_dedup_leaves_one_table(spark):
+    def folders():
+        return set(os.listdir("/" + shared_dir(spark).removeprefix("file:").lstrip("/")))
+
+    before = folders()
+    lines = [prose(i, 30) for i in range(8)]
+    out = line_dedup.dedup_lines(docs(spark, [f"{x}\n{x.replace('w', 'q', 1)}" for x in lines]))
+    left = {x.rsplit("-", 1)[0] for x in folders() - before} - {"cc", "merged"}  # small ones
+    assert left == {"line-gone"}
+    assert out.agg(F.sum("n_gone")).first()[0] == 8
+
+
 # ---- linking -------------------------------------------------------------------------------------------------------
 
 
