@@ -5,6 +5,7 @@ import hashlib
 import io
 import os
 import re
+import time
 import wave
 import zlib
 from collections import Counter, defaultdict
@@ -13,8 +14,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomgraph.llm import ann, langid, line_dedup, linking, media, mixing, ngram_join, pieces, quality, toxicity, warc
-from loomgraph.llm.common import shared_dir
+from loomgraph.llm import ann, common, langid, line_dedup, linking, media, mixing, ngram_join, pieces, quality, toxicity, warc
+from loomgraph.llm.common import shared_dir, table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, v long"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -166,6 +167,21 @@ def test_line_dedup_leaves_one_table(spark):
     assert out.agg(F.sum("n_gone")).first()[0] == 8
 
 
+def test_tables_leave_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in found.mkString("\n").split("\n") if "/shuffle_" in x}
+
+    before = files()
+    out = table(spark.range(20000).groupBy((F.col("id") % 700).alias("k")).count(), "t")
+    until = time.time() + 10  # they are deleted in the background
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(common.CLEANUP, None) is None
+    assert out.count() == 700
+
+
 # ---- linking -------------------------------------------------------------------------------------------------------
 
 
