@@ -182,6 +182,26 @@ def test_tables_leave_no_shuffle_files(spark):
     assert out.count() == 700
 
 
+def test_line_dedup_in_slices(spark, monkeypatch):
+    lines = [prose(i, 30) for i in range(12)]
+    shared = "the same passage of some words in each of them"  # of lines that are not similar
+    unlike = [f"{prose(100 + i, 20 + 9 * i)} {shared}" for i in range(9)]
+    rows = defaultdict(list)
+
+    def counted(df, name):
+        out = table(df, name)
+        rows[name].append(out.count())
+        return out
+
+    for module, name, value in ((line_dedup, "table", counted), (linking, "table", counted), (line_dedup, "SLICED_ROWS", 0), (linking, "SLICE_ROWS", 10), (linking, "SLICES", 2)):
+        monkeypatch.setattr(module, name, value)
+    out = line_dedup.dedup_lines(docs(spark, [f"{x}\n{x.replace('w', 'q', 2)}" for x in lines] + unlike))
+    assert {r.doc_id: r.text for r in out.collect()} == dict(enumerate(lines + unlike))
+    assert len(rows["line-shared"]) == line_dedup.SLICES and max(rows["line-shared"]) < sum(rows["line-shared"])
+    assert len(rows["met"]) > 1
+    assert 24 <= rows["line-texts"][0] < 33  # not of lines whose sketches rule out every pair
+
+
 # ---- linking -------------------------------------------------------------------------------------------------------
 
 
