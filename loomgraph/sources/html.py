@@ -19,6 +19,7 @@ TEXT_TAGS = frozenset(("p", "h1", "h2", "h3", "h4", "li", "div"))
 CODE_TAGS = frozenset(("pre", "code"))
 SKIPPED_CLASSES = frozenset(("tryit", "w3-btn", "w3-bar"))
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+BATCH_CHARS = 1 << 20  # of texts, above which a batch goes out
 SCRAPED = "page_pos long, url string, title string, text_content array<string>, code_examples array<string>, error string"
 
 
@@ -73,16 +74,30 @@ def sections(html: str | None, container: tuple[str, str | None] = ("div", "main
     return [t for tag, t in whole if tag in TEXT_TAGS and len(t) > 10], [t for tag, t in whole if tag in CODE_TAGS and len(t) > 20], None
 
 
+def scraped(batches, container: tuple[str, str | None]):
+    """Arrow batches (page_pos, url, title, html) -> batches of SCRAPED, of BATCH_CHARS and one page at most: a batch of pages can have texts of many times its size."""
+    for b in batches:
+        rows, size = [], 0
+        for i, x in enumerate(b.column(3), 1):
+            rows.append(sections(x.as_py(), container))
+            size += sum(len(t) for texts in rows[-1][:2] for t in texts)
+            if size < BATCH_CHARS and i < b.num_rows:
+                continue
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(b.column(k).slice(i - len(rows), len(rows)) for k in range(3)),
+                    *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.list_(pa.string()), pa.list_(pa.string()), pa.string()))),
+                ],
+                names=["page_pos", "url", "title", "text_content", "code_examples", "error"],
+            )
+            rows, size = [], 0
+
+
 def scrape(pages: DataFrame, container: tuple[str, str | None] = ("div", "main")) -> DataFrame:
     """pages (page_id, url, html) -> one row a page with its sections or error."""
 
     def run(batches):
-        for b in batches:
-            rows = [sections(x.as_py(), container) for x in b.column(3)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), *(pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.list_(pa.string()), pa.list_(pa.string()), pa.string())))],
-                names=["page_pos", "url", "title", "text_content", "code_examples", "error"],
-            )
+        yield from scraped(batches, container)
 
     title = F.nullif(T.strip(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit(""))
     return pages.select(F.col("page_id").alias("page_pos"), "url", title.alias("title"), "html").mapInArrow(run, SCRAPED)

@@ -1,6 +1,7 @@
 """Golden snippets, names, dedup order, upserts and invariants."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,19 @@ def test_stage_documents(spark, tmp_path):
     assert nodes.first().name == "n" and edges.first().src == "a"
 
 
+def test_scraped_batches_are_bounded_by_their_texts():
+    page = "<article>" + "<p>some words of a paragraph" * 150 + "</article>"  # unclosed, so texts are many times the page
+    html_of = [page] * 40 + [None, "<p>no container</p>"]
+    batch = pa.RecordBatch.from_pydict({"page_pos": list(range(42)), "url": [f"u{i}" for i in range(42)], "title": [None] * 42, "html": html_of})
+    out = list(html.scraped([batch.slice(0, 0), batch], ("article", None)))
+    of_page = sum(map(len, html.sections(page, ("article", None))[0]))
+    sizes = [sum(len(t) for texts in b.column(3).to_pylist() for t in texts) for b in out]
+    assert of_page > 50 * len(page) and len(out) > 5 and max(sizes) < html.BATCH_CHARS + of_page
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [r["page_pos"] for r in rows] == list(range(42)) and [r["url"] for r in rows] == [f"u{i}" for i in range(42)]
+    assert [(r["text_content"], r["code_examples"], r["error"]) for r in rows] == [html.sections(h, ("article", None)) for h in html_of]
+
+
 def test_pipeline_from_pages(spark):
     page = "<div id='main'><p>class Dog extends Animal in this text, class Dog again</p><pre>class Dog extends Animal implements Pet { run(); }</pre></div>"
     b = pipeline.build(spark, spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"))
