@@ -202,6 +202,25 @@ def test_line_dedup_in_slices(spark, monkeypatch):
     assert 24 <= rows["line-texts"][0] < 33  # not of lines whose sketches rule out every pair
 
 
+def test_counts_of_line_pairs_include_other_characters_and_lose_no_similar_pair(spark):
+    rng = np.random.default_rng(5)
+    texts = [("e" * 16 + "a" * 60 + "1" * 24, "o" * 16 + "a" * 60 + "1" * 8), ("x" * 33000 + "e" * 9, "x" * 33000 + "y" * 6590 + "e" * 9), ("e" * 33000, "e" * 26500)]
+    for n in (8, 30, 90, 400):
+        for _ in range(30):
+            a = "".join(rng.choice(list("etaon bwq5éß中"), n))
+            b = [str(rng.choice(["", x, "7", "e" + x, "ß"], p=[0.05, 0.8, 0.05, 0.05, 0.05])) for x in a]
+            texts.append((a, "".join(b)))
+    rows = [(2 * i + k, x) for i, pair in enumerate(texts) for k, x in enumerate(pair)]
+    sketch = line_dedup.sketches(spark.createDataFrame(rows, "v long, norm string"))
+    a, b = (sketch.where(f"v % 2 = {k}").select(*(F.col(c).alias(f"{p}_{c}") for c in sketch.columns)) for k, p in enumerate("ab"))
+    got = {r.a_v // 2: r.ok for r in a.join(b, F.col("b_v") == F.col("a_v") + 1).select("a_v", line_dedup.close("a_", "b_").alias("ok")).collect()}
+    assert not got[0] and got[1] and got[2]
+    pairs = spark.createDataFrame([(i, *x) for i, x in enumerate(texts)], "i long, x string, y string").where("i > 2")
+    near = F.levenshtein("x", "y") <= line_dedup.edits_allowed(F.length("x"), F.length("y"))
+    similar = [r.i for r in pairs.where(near).collect()]
+    assert len(similar) > 50 and all(got[i] for i in similar)
+
+
 # ---- linking -------------------------------------------------------------------------------------------------------
 
 
